@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tessera.llm import packing, token_files
+from tessera.llm import packing, simhash, token_files
 
-MODULES = (token_files, packing)
+MODULES = (token_files, simhash, packing)
 
 
 def queries() -> dict[str, Callable]:
