@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tessera.llm import packing, rules, simhash, token_files
+from tessera.llm import mixing, packing, rules, simhash, token_files
 
-MODULES = (token_files, simhash, rules, packing)
+MODULES = (token_files, mixing, simhash, rules, packing)
 
 
 def queries() -> dict[str, Callable]:
