@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tessera.llm import language, licences, mixing, packing, rules, simhash, token_files
+from tessera.llm import bitsliced, language, licences, mixing, packing, rules, simhash, token_files
 
-MODULES = (token_files, mixing, simhash, rules, packing, licences, language)
+MODULES = (token_files, bitsliced, mixing, simhash, rules, packing, licences, language)
 
 
 def queries() -> dict[str, Callable]:
