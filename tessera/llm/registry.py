@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tessera.llm import bitsliced, language, licences, mixing, packing, quality, rules, simhash, token_files
+from tessera.llm import bitsliced, language, licences, mixing, packing, quality, rules, simhash, substring, token_files
 
-MODULES = (token_files, bitsliced, mixing, simhash, quality, rules, packing, licences, language)
+MODULES = (token_files, bitsliced, mixing, simhash, substring, quality, rules, packing, licences, language)
 
 
 def queries() -> dict[str, Callable]:
