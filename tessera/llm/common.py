@@ -11,7 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of at most 1,000 rows, so that tasks stay small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

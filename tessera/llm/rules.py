@@ -79,9 +79,10 @@ def _repeated(window: int) -> str:
     END"""
 
 
-def measure(documents: DataFrame, window: int = 8) -> DataFrame:
-    """doc_id and the measurements of the whole text."""
-    rows = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def measure(documents: DataFrame, window: int = 8, whole_rows: bool = False) -> DataFrame:
+    """doc_id and the measurements of the whole text; `whole_rows` adds the row itself as the struct `row`."""
+    row = [F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row")] * whole_rows
+    rows = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *row)
     rows = rows.withColumn("words", F.filter(F.split("text", _SPACE), lambda w: w != ""))
     rows = rows.withColumn("n_words", F.size("words").cast("long"))
     rows = rows.withColumn(
@@ -90,6 +91,7 @@ def measure(documents: DataFrame, window: int = 8) -> DataFrame:
     )
     rows = rows.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: F.length(F.btrim(x, F.lit(" \t\x0b\x0c\r"))) > 0))
     return rows.select(
+        *["row"] * whole_rows,
         "doc_id",
         "n_words",
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
@@ -101,10 +103,10 @@ def measure(documents: DataFrame, window: int = 8) -> DataFrame:
     )
 
 
-def ledger(documents: DataFrame, window: int = 8) -> DataFrame:
+def ledger(documents: DataFrame, window: int = 8, whole_rows: bool = False) -> DataFrame:
     """The measurements and `fail_bits`, one bit for each failed rule."""
     bits = [F.when(F.expr(test), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, (_, test) in enumerate(RULES)]
-    return measure(documents, window).withColumn("fail_bits", reduce(lambda a, b: a.bitwiseOR(b), bits))
+    return measure(documents, window, whole_rows).withColumn("fail_bits", reduce(lambda a, b: a.bitwiseOR(b), bits))
 
 
 def apply_policy(book: DataFrame, version: int) -> DataFrame:
@@ -113,6 +115,11 @@ def apply_policy(book: DataFrame, version: int) -> DataFrame:
     return book.withColumns({"base_failed": failed(BASE), "kept": ~(failed(POLICIES[version]) | failed(BASE))})
 
 
+def keep(documents: DataFrame, version: int) -> DataFrame:
+    """The documents that a policy keeps, with all their columns."""
+    return apply_policy(ledger(documents, whole_rows=True), version).where("kept").select("row.*")
+
+
 def ablations(book: DataFrame, version: int) -> DataFrame:
     """Per rule of a policy: the documents that fail it, and those kept if this rule alone were dropped.
 

@@ -24,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import common
@@ -249,6 +249,15 @@ def near_duplicates(documents: DataFrame, distance: int = 4, shingle: int = 4) -
     )
 
 
+def one_of_each(documents: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
+    """The documents with the smallest id of their component; rows without an id stay, repeated ids stay once."""
+    first = near_duplicates(documents, distance, shingle).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    known = documents.where("doc_id is not null").join(first, F.col("doc_id") == F.col("_kept"), "left_semi")
+    once = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    known = known.withColumn("_once", once).where("_once = 1").select(*documents.columns)
+    return known.union(documents.where("doc_id is null"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every row of `documents`."""
     return near_duplicates(common.table(spark, sf_dir, "documents"))
