@@ -1 +1 @@
-
+"""Column expressions and vectorised functions over URLs, texts and markup."""

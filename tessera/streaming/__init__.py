@@ -1 +1 @@
-
+"""Incremental ingestion with checkpoints and idempotent batches."""
