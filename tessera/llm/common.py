@@ -60,12 +60,25 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 4096, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut batches into pieces of at most `rows` rows and about `size` bytes; one long row stays whole."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 2048, size: int = 6 << 20) -> Iterator[pa.RecordBatch]:
+    """Regroup batches into ones of about `size` bytes and at most `rows` rows; one long row stays whole."""
+    held: list[pa.RecordBatch] = []
+    n = full = 0
     for batch in batches:
-        step = max(1, min(rows, int(rows if batch.nbytes <= size else batch.num_rows * size // batch.nbytes)))
+        step = max(1, min(rows, batch.num_rows if batch.nbytes <= size else batch.num_rows * size // batch.nbytes))
         for i in range(0, batch.num_rows, step):
-            yield batch.slice(i, step)
+            part = batch.slice(i, step)
+            if held and (n + part.num_rows > rows or full + part.nbytes > size):
+                yield _joined(held)
+                held, n, full = [], 0, 0
+            held.append(part)
+            n, full = n + part.num_rows, full + part.nbytes
+    if held:
+        yield _joined(held)
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.concat_batches(batches)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -20,7 +20,7 @@ WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
 
 #: Chunks that a worker remembers before it starts anew.
-MEMO = 1_200_000
+MEMO = 400_000
 #: Marks a text's first chunk; texts that hold control characters are encoded directly.
 _FIRST = "\x02"
 #: Letters below U+0300 have no other normal form; the apostrophe has patterns of its own.
