@@ -6,21 +6,26 @@ adaptive execution splits; no neighbour list is ever gathered. Each round is wri
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import common
 
 
+def apart(key: str) -> Column:
+    """A grouping key as a new expression: a join on it gets exchanges of its own, whose hot partitions can be split."""
+    return F.col(key) + F.lit(0).cast("long")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select(apart("u").alias("k"), F.least("u", "m").alias("m"))
     return both.join(least, F.col("u") == F.col("k")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
+    least = down.groupBy("u").agg(F.min("v").alias("m")).select(apart("u").alias("k"), "m")
     others = down.join(least, F.col("u") == F.col("k")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return others.union(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()
 

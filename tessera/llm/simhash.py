@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import common
-from tessera.llm.components import components
+from tessera.llm.components import apart, components
 
 #: Longest runs of a key whose pairs are all compared at once.
 _SMALL = 8
@@ -242,8 +242,8 @@ def near_duplicates(documents: DataFrame, distance: int = 4, shingle: int = 4) -
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     roots = common.staged(components(links(distinct.select("fp"), distance), "a", "b"), "roots")
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of = rooted.select("fp", "root").join(least, "root").select(F.col("fp").alias("of_fp"), "component_id")
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id")).select(apart("root").alias("k"), "component_id")
+    of = rooted.select("fp", "root").join(least, F.col("root") == F.col("k")).select(F.col("fp").alias("of_fp"), "component_id")
     return marked.join(of, F.col("fp") == F.col("of_fp")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
