@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as T
 from tessera.operators import entities as E
 from tessera.operators import merge as M
+from tessera.plans import catalogue_queries as CQ
 from tessera.plans import dashboard
 from tessera.plans import operator_queries as Q
 from tessera.plans.mart import Mart
@@ -18,12 +19,15 @@ from tessera.streaming.ingest import ingest
 from tests.test_mart import same
 
 
-@pytest.mark.parametrize("name", sorted(Q.QUERIES))
+SQL = Q.SQL | CQ.SQL
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, sf_dir, name):
     con = duckdb.connect()
     for f in glob.glob(f"{sf_dir}/*.parquet"):
         con.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM '{f}'")
-    same(Q.QUERIES[name](spark, sf_dir).toPandas(), con.execute(Q.SQL[name]).df())
+    same((Q.QUERIES | CQ.QUERIES)[name](spark, sf_dir).toPandas(), con.execute(SQL[name]).df())
 
 
 CASES = [
