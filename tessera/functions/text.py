@@ -114,3 +114,27 @@ def is_self_name(entity: Column, product: Column) -> Column:
     """An entity that only names the product: equal when compacted, or five characters or more and contained."""
     e, p = compact_name(entity), compact_name(product)
     return (e == p) | ((F.length(e) >= 5) & F.contains(p, e))
+
+
+def iso_timestamp(text: Column) -> Column:
+    """An ISO date or time, with Z or an offset; null for anything else."""
+    return F.try_to_timestamp(F.regexp_replace(F.trim(text), r"Z$", "+00:00"))
+
+
+def retry_after(header: Column, now: Column) -> Column:
+    """Seconds that a Retry-After header asks for, given as seconds or as an HTTP date; never negative."""
+    date = F.try_to_timestamp(F.regexp_replace(header, r"^\w+, | GMT$", ""), F.lit("dd MMM yyyy HH:mm:ss"))
+    return F.greatest(F.lit(0.0), F.coalesce(header.try_cast("double"), (F.unix_timestamp(date) - F.unix_timestamp(now)).cast("double")))
+
+
+# Address ranges that are not public.
+_PRIVATE = r"^(0|10|127)\.|^169\.254\.|^192\.168\.|^172\.(1[6-9]|2\d|3[01])\.|^100\.(6[4-9]|[7-9]\d|1[01]\d|12[0-7])\.|^192\.0\.[02]\.|^198\.(1[89]|51)\.|^203\.0\.113\.|^(22[4-9]|2[3-5]\d)\."
+
+
+def public_url(url: Column) -> Column:
+    """Whether an address may be fetched: http(s), no user, an ordinary port and no local name or private address."""
+    parts = r"(?i)^(https?)://(?:([^/@?#]*)@)?(\[[^\]]*\]|[^/:?#]+)(?::(\d+))?(?:[/?#]|$)"
+    get = lambda i: F.regexp_extract(url, parts, i)
+    host = F.regexp_replace(F.lower(get(3)), r"\.$", "")
+    local = host.rlike(r"(^|\.)(localhost|local|internal|home|lan)$") | ~F.contains(host, F.lit(".")) | host.rlike(_PRIVATE) | F.startswith(host, F.lit("["))
+    return F.coalesce(url.rlike(parts) & (get(2) == "") & get(4).isin("", "80", "443") & ~local, F.lit(False))
