@@ -30,7 +30,7 @@ BLOCK = 2048
 _RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
-def sample_texts(documents: DataFrame, rows: int = 96, row_chars: int = 20_000) -> dict[str, list[str]]:
+def sample_texts(documents: DataFrame, rows: int = 64, row_chars: int = 4_000) -> dict[str, list[str]]:
     """About `rows` labelled texts per language that may be learnt from, chosen by a hash; long ones give `row_chars`."""
     usable = documents.select("doc_id", "text", "lang").where("text is not null and lang is not null").where(~common.held_out(F.col("doc_id")))
     counts = usable.groupBy("lang").count().select(F.col("lang").alias("l"), "count")
