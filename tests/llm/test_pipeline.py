@@ -119,3 +119,18 @@ def test_sequence_packing(stages):
 def test_run_gives_the_last_stage(spark, sf_dir, stages):
     rows = corpus_pipeline.run(spark, sf_dir)
     assert rows.count() == len(stages["sequence_packing"][1]) and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_stages_take_odd_tables(spark, sf_dir):
+    kind = "doc_id long, text string, lang string, source string, n_chars long, row string, copies int, bits string"
+    good = " ".join(f"word{i}" for i in range(70))
+    rows = [(1, good, "en", "a", 9, "r", 5, "b"), (1, good, "en", "a", 9, "r", 5, "b"), (2, None, None, None, None, None, None, None), (3, "", "en", "a", 0, "r", 1, "b"), (None, good + " more", "en", None, 1, "r", 1, "b"),
+            (4, "other " + good, "en", "b", 1, "r", 1, "b"), (5, " ".join(f"x{i}" for i in range(60_000)), "en", "b", 1, "r", 1, "b")]
+    for some in (rows, []):
+        docs = spark.createDataFrame(some, kind)
+        for name, stage in corpus_pipeline.STAGES:
+            out = common.staged(stage(spark, docs, sf_dir), name)
+            if name != "sequence_packing":
+                assert out.columns == docs.columns
+                docs = out
+        assert out.count() > 0 if some else out.count() == 0
