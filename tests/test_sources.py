@@ -112,3 +112,15 @@ def test_exports(spark, tmp_path):
     assert exports.verify_manifest(found, found).count() == 0
     wrong = spark.createDataFrame([("x.bin", 3, "0"), ("y.bin", 1, "1")], "name string, bytes long, sha256 string")
     assert {(r["name"], r["problem"]) for r in exports.verify_manifest(wrong, found).collect()} == {("x.bin", "hash"), ("y.bin", "missing")}
+
+
+def test_command_line(spark, tmp_path, capsys, sf_dir):
+    from tessera.__main__ import main
+
+    assert main(["list", "--sf", sf_dir, "dashboard_labels"]) == 0 and "1-URGENT" in capsys.readouterr().out
+    assert main(["snapshot", "--sf", sf_dir, f"{tmp_path}/s"]) == 0 and "products" in capsys.readouterr().out
+    assert main(["search", "--sf", sf_dir, "--label", "1-URGENT", "--limit", "2"]) == 0
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f/a.bin").write_bytes(b"1")
+    exports.manifest(spark, f"{tmp_path}/f").write.parquet(f"{tmp_path}/m")
+    assert main(["verify", f"{tmp_path}/f", f"{tmp_path}/m"]) == 0
