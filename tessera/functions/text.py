@@ -45,7 +45,7 @@ def json_content_hash(fields: dict[str, Column]) -> Column:
 
 def split_nonblank(text: Column, separator: str) -> Column:
     """Parts between separators, trimmed, blank ones left out; an empty array for null."""
-    parts = F.transform(F.split(text, separator), F.trim)
+    parts = F.transform(F.split(text, separator), lambda x: F.trim(x))
     return F.coalesce(F.filter(parts, lambda x: x != ""), F.array().cast("array<string>"))
 
 
