@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Texts go to Python in batches of at most 1,000 rows, so that tasks stay small."""
+    """Texts go to Python in batches of at most 1,000 rows and about 16 MB, so that tasks stay small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,7 +43,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write df to a new table in the shared folder and read it back: the lineage ends here."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
