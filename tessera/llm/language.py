@@ -1,7 +1,7 @@
 """Language identification by cross-parsing entropy.
 
 For each language a suffix automaton of labelled text is built. A text is parsed from left to right into the
-longest phrases that occur in a language's text; the phrases times the bits that point into that text, per
+longest phrases that occur in a language's text (a letter that the language lacks opens the phrase behind it); the phrases times the bits that point into that text, per
 letter, estimate the cross entropy. The language with the least wins.
 
 The parse restarts at the automaton's start only, so automaton and restarts make one transition table per

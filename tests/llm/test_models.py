@@ -53,8 +53,8 @@ def greedy(text, corpus, block):
     for i in range(0, len(text), block):
         part, at = text[i : i + block], 0
         while at < len(part):
-            n = 1
-            while at + n < len(part) and part[at : at + n + 1] in corpus:
+            n, first = 1, at + (part[at] not in corpus)  # a letter that the corpus lacks opens the phrase behind it
+            while at + n < len(part) and part[first : at + n + 1] in corpus:
                 n += 1
             count, at = count + 1, at + n
     return count
