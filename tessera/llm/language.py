@@ -5,8 +5,9 @@ longest phrases that occur in a language's text (a letter that the language lack
 letter, estimate the cross entropy. The language with the least wins.
 
 The parse restarts at the automaton's start only, so automaton and restarts make one transition table per
-language. The tables, bounded by `states` in all, go to every task, which parses the texts of a batch side by
-side, one letter of each at a time. Texts are parsed in blocks of `BLOCK` letters, so that very long texts
+language, over that language's own letters: a dense one for up to `DENSE` letters, sorted edges for more. The
+tables, bounded by `states` in all, go to every task, which parses the texts of a batch side by side, one letter
+of each at a time. Texts are parsed in blocks of `BLOCK` letters, so that very long texts
 take no longer per letter.
 
 Defined results: null texts and texts without a letter are `und` with score 0; ties go to the language first
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 from tessera.llm import common
 
 BLOCK = 2048
+#: Most letters of a language whose table is dense.
+DENSE = 254
+_GAP = 0xFFFFFFFF
 _RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
@@ -46,17 +50,18 @@ def _clean(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
 
 
-def automaton(codes: list[int], alphabet: int) -> np.ndarray:
-    """Transitions of the suffix automaton of a code sequence; 0 (the start) where there is none."""
-    step, link, length = [[0] * alphabet], [-1], [0]
+def automaton(codes: list[int]) -> list[dict[int, int]]:
+    """Transitions of each state of the suffix automaton of a code sequence; none lead to 0, the start."""
+    step: list[dict[int, int]] = [{}]
+    link, length = [-1], [0]
     last = 0
     for c in codes:
         now = len(step)
-        step.append([0] * alphabet)
+        step.append({})
         link.append(0)
         length.append(length[last] + 1)
         p = last
-        while p >= 0 and not step[p][c]:
+        while p >= 0 and c not in step[p]:
             step[p][c] = now
             p = link[p]
         if p >= 0:
@@ -65,44 +70,57 @@ def automaton(codes: list[int], alphabet: int) -> np.ndarray:
                 link[now] = q
             else:
                 copy = len(step)
-                step.append(step[q][:])
+                step.append(dict(step[q]))
                 link.append(link[q])
                 length.append(length[p] + 1)
-                while p >= 0 and step[p][c] == q:
+                while p >= 0 and step[p].get(c) == q:
                     step[p][c] = copy
                     p = link[p]
                 link[q] = link[now] = copy
         last = now
-    return np.array(step, np.int32)
+    return step
 
 
 def fit(texts: dict[str, list[str]], chars: int = 24_000, states: int = 400_000) -> dict:
-    """The model: languages, letters, one transition table for all, each language's start and bits a phrase.
+    """The model: languages, letters of all, and for each language its table and bits a phrase.
 
     `chars` letters are taken per language, fewer where all automata together would pass `states` states.
     """
     chars = min(chars, states // (2 * max(1, len(texts))))
     joined = {lang: " ".join(map(_clean, some))[:chars] for lang, some in texts.items()}
     joined = {lang: text for lang, text in joined.items() if text.strip()}
-    letters = sorted(set("".join(joined.values())) | {" "})[:254]
-    code = {c: i + 1 for i, c in enumerate(letters)}  # 0: a letter that no language has
-    width = len(letters) + 1
-    tables, starts, bits, at = [], [], [], 0
-    for text in joined.values():
-        t = automaton([code.get(c, 0) for c in text], width).astype(np.int64)
-        t[:, 0] = 0
-        restart = t == 0
-        t = np.where(restart, t[0][None, :], t) + at
-        tables.append((t * 2 + restart).astype(np.int32))  # the lowest bit counts a new phrase
-        starts.append(at)
-        bits.append(log2(len(text) + 1))
-        at += len(t)
-    return {"langs": list(joined), "letters": letters, "table": np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32), "starts": np.array(starts, np.int32), "bits": np.array(bits), "width": width}
+    letters = sorted(set("".join(joined.values())) | {" "})
+    tables = [_table(text, letters) for text in joined.values()]
+    return {"langs": list(joined), "letters": letters, "tables": tables, "bits": np.array([log2(len(text) + 1) for text in joined.values()])}
+
+
+def _table(text: str, letters: list[str]) -> dict:
+    """A language's own codes of all letters (0: not its own) and its transitions; the lowest bit counts a new phrase."""
+    code = {c: i + 1 for i, c in enumerate(sorted(set(text)))}
+    step = automaton([code[c] for c in text])
+    width = len(code) + 1
+    own = np.array([0, *(code.get(c, 0) for c in letters)], np.int32)
+    root = np.array([2 * step[0].get(c, 0) + 1 for c in range(width)], np.int32)
+    keys = np.array([s * width + c for s, edges in enumerate(step) for c in sorted(edges)], np.int64)
+    goals = np.array([2 * edges[c] for edges in step for c in sorted(edges)], np.int32)
+    if width > DENSE + 1:
+        return {"own": own, "width": width, "root": root, "keys": keys, "goals": goals}
+    dense = np.tile(root, len(step))
+    dense[keys] = goals
+    return {"own": own, "width": width, "dense": dense}
+
+
+def _follow(table: dict, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    at = state * table["width"] + codes
+    if "dense" in table:
+        return table["dense"][at]
+    edge = np.minimum(np.searchsorted(table["keys"], at), len(table["keys"]) - 1)
+    return np.where(table["keys"][edge] == at, table["goals"][edge], table["root"][codes])
 
 
 def _code_points(model: dict) -> np.ndarray:
-    """The code of every code point: a letter's, 0 for unknown letters, 255 for what is no letter."""
-    lut = np.full(0x110000, 255, np.uint8)
+    """The code of every code point: a letter's, 0 for unknown letters, _GAP for what is no letter."""
+    lut = np.full(0x110000, _GAP, np.uint32)
     code = {c: i + 1 for i, c in enumerate(model["letters"])}
     for point in range(0x110000):
         c = chr(point)
@@ -116,13 +134,13 @@ def phrases(texts: list[str | None], model: dict, lut: np.ndarray) -> tuple[np.n
     sizes = np.array([len(t) if t else 0 for t in texts], np.int64)
     points = np.frombuffer("".join(t for t in texts if t).encode("utf-32-le", "surrogatepass"), "<u4")
     codes, owner = lut[points], np.repeat(np.arange(len(texts)), sizes)
-    gap = codes == 255
+    gap = codes == _GAP
     first = np.ones(len(codes), bool)
     first[1:] = owner[1:] != owner[:-1]
     before = np.ones(len(codes), bool)
     before[1:] = gap[:-1]
     keep = ~gap | ~(before | first)  # one blank between words
-    codes, owner = np.where(gap, 1 + model["letters"].index(" "), codes)[keep].astype(np.uint8), owner[keep]
+    codes, owner = np.where(gap, 1 + model["letters"].index(" "), codes)[keep], owner[keep]
     length = np.bincount(owner, minlength=len(texts))
     begins = np.cumsum(length) - length
     blocks = -(-length // BLOCK)
@@ -132,15 +150,15 @@ def phrases(texts: list[str | None], model: dict, lut: np.ndarray) -> tuple[np.n
     block_size = np.minimum(BLOCK, length[block_owner] - within * BLOCK)
     order = np.argsort(-block_size, kind="stable")
     block_owner, block_start, block_size = block_owner[order], block_start[order], block_size[order]
-    langs, width, table = len(model["langs"]), model["width"], model["table"]
-    state = np.repeat(model["starts"][:, None], len(block_owner), axis=1).astype(np.int64)
+    langs = len(model["langs"])
     count = np.zeros((langs, len(block_owner)), np.int64)
-    active = np.searchsorted(-block_size, -np.arange(int(block_size.max()) if len(block_size) else 0), side="left")
-    for t, k in enumerate(active.tolist()):
-        c = codes[block_start[:k] + t]
-        got = table[state[:, :k] * width + c]
-        count[:, :k] += got & 1
-        state[:, :k] = got >> 1
+    active = np.searchsorted(-block_size, -np.arange(int(block_size.max()) if len(block_size) else 0), side="left").tolist()
+    for lang, table in enumerate(model["tables"]):
+        own, state = table["own"][codes], np.zeros(len(block_owner), np.int64)
+        for t, k in enumerate(active):
+            got = _follow(table, state[:k], own[block_start[:k] + t])
+            count[lang, :k] += got & 1
+            state[:k] = got >> 1
     total = np.zeros((len(texts), langs), np.int64)
     np.add.at(total, block_owner, count.T + 1)
     return total, length
@@ -149,7 +167,7 @@ def phrases(texts: list[str | None], model: dict, lut: np.ndarray) -> tuple[np.n
 def identify(documents: DataFrame, model: dict) -> DataFrame:
     """doc_id, held_out, lang_pred and a score in [0, 1] for every row, from its text alone."""
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # at most `states` rows of `width` integers
+    shared = spark.sparkContext.broadcast(model)  # at most `states` rows of `DENSE` + 1 integers, or two edges a state
     luts: list[np.ndarray] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
