@@ -18,6 +18,8 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
+from math import pi
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +27,9 @@ from tessera.llm import common
 
 #: 52 bits of a digest make a double in [0, 1) exactly.
 _BITS = 52
-_ADDED = ("copy", "copies", "rate", "shuffle_key", "_source", "_cdf")
+_ADDED = ("copy", "copies", "rate", "shuffle_key", "_source", "_cdf", "_low")
+#: Rates above this draw from a distribution that begins below their mean, not at 0.
+_LARGE = 500.0
 
 
 def _digest(*parts: Column) -> Column:
@@ -39,10 +43,10 @@ def temperature_weights(documents: DataFrame, alpha: float = 0.5) -> DataFrame:
     return documents.groupBy("source").agg(F.pow(chars.cast("double"), F.lit(alpha)).alias("weight"))
 
 
-def rates(documents: DataFrame, weights: DataFrame, epochs: float = 1.0, most: float = 16.0) -> DataFrame:
+def rates(documents: DataFrame, weights: DataFrame, epochs: float = 1.0, most: float | None = None) -> DataFrame:
     """(source, rate): copies expected of each document, so that the output holds `epochs` times the characters.
 
-    `most` bounds how often a small source repeats.
+    `most`, where given, bounds how often a small source repeats; the mixture then misses its weights.
     """
     chars = F.coalesce(F.sum(F.length(F.coalesce("text", F.lit(""))).cast("long")), F.lit(0)).cast("double")
     has = documents.groupBy("source").agg(chars.alias("chars"))
@@ -52,14 +56,25 @@ def rates(documents: DataFrame, weights: DataFrame, epochs: float = 1.0, most: f
     all_chars, all_weight = total["all_chars"] or 0.0, total["all_weight"] or 0.0
     # rounded, so that the order of addition does not show
     share = F.col("weight") * F.lit(epochs * all_chars) / F.lit(all_weight or 1.0)
-    rate = F.when(F.col("chars") > 0, F.least(F.round(share / F.when(F.col("chars") > 0, F.col("chars")), 9), F.lit(most))).otherwise(F.lit(1.0))
+    rate = F.when(F.col("chars") > 0, F.round(share / F.when(F.col("chars") > 0, F.col("chars")), 9)).otherwise(F.lit(1.0))
+    if most is not None:
+        rate = F.when(F.col("chars") > 0, F.least(rate, F.lit(most))).otherwise(rate)
     return both.select("source", rate.alias("rate"))
 
 
+def _low(rate: Column) -> Column:
+    """The least number of copies whose probability counts: 0, or at rates whose exp(-rate) is near underflow 12 deviations below."""
+    return F.when(rate > _LARGE, F.ceil(rate - 12 * F.sqrt(rate))).otherwise(F.lit(0)).cast("int")
+
+
 def _cdf(rate: Column) -> Column:
-    """The Poisson distribution at 0, 1, ..., up to where a double no longer tells it from 1."""
-    steps = F.sequence(F.lit(1), F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int"))
-    start = F.struct(F.exp(-rate).alias("p"), F.array(F.exp(-rate)).alias("c"))
+    """The Poisson distribution at _low, _low + 1, ..., up to where a double no longer tells it from 1."""
+    low = _low(rate)
+    n = low.cast("double")
+    stirling = n * F.log(n) - n + F.log(2 * F.lit(pi) * n) / 2 + 1 / (12 * n) - 1 / (360 * n * n * n)  # ln n!
+    first = F.when(rate > _LARGE, F.exp(n * F.log(rate) - rate - stirling)).otherwise(F.exp(-rate))
+    steps = F.sequence(low + 1, F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int"))
+    start = F.struct(first.alias("p"), F.array(first).alias("c"))
 
     def step(s: Column, k: Column) -> Column:
         p = s["p"] * rate / k
@@ -70,24 +85,24 @@ def _cdf(rate: Column) -> Column:
 
 def replicate(documents: DataFrame, source_rates: DataFrame, seed: int = 7, broadcast_sources: int = 10_000) -> DataFrame:
     """The documents with their copies, in a global random order; `copy` counts each document's copies from 0."""
-    tables = source_rates.select(F.col("source").alias("_source"), "rate", _cdf(F.col("rate")).alias("_cdf"))
+    tables = source_rates.select(F.col("source").alias("_source"), "rate", _cdf(F.col("rate")).alias("_cdf"), _low(F.col("rate")).alias("_low"))
     if source_rates.count() <= broadcast_sources:
         tables = F.broadcast(tables)
     rows = documents.drop(*_ADDED)
     ident = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     uniform = _digest(F.lit(str(seed)), ident) / F.lit(float(1 << _BITS))
     drawn = rows.join(tables, F.col("source").eqNullSafe(F.col("_source")))
-    drawn = drawn.withColumn("copies", F.size(F.filter("_cdf", lambda c: c <= uniform)).cast("long")).drop("_source", "_cdf")
+    drawn = drawn.withColumn("copies", (F.col("_low") + F.size(F.filter("_cdf", lambda c: c <= uniform))).cast("long")).drop("_source", "_cdf", "_low")
     drawn = drawn.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
     drawn = drawn.withColumn("shuffle_key", _digest(F.lit(f"{seed}-order"), ident, F.col("copy").cast("string")))
     parts = common.partitions(documents.sparkSession)
     return drawn.repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key", "doc_id", "copy")
 
 
-def mix(documents: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, seed: int = 7) -> DataFrame:
+def mix(documents: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, seed: int = 7, most: float | None = None) -> DataFrame:
     """Mix to the given weights, or to those of `temperature_weights`."""
     weights = temperature_weights(documents) if weights is None else weights
-    return replicate(documents, common.staged(rates(documents, weights, epochs), "rates"), seed)
+    return replicate(documents, common.staged(rates(documents, weights, epochs, most), "rates"), seed)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
