@@ -15,6 +15,8 @@ are left out; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -100,8 +102,16 @@ def canonical(text: Column) -> Column:
     return _blanked(F.regexp_replace(_spelt(text), _COPYRIGHT_LINE, " "))
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
+def known_texts() -> tuple[tuple[str, str], ...]:
+    """KNOWN and the longer texts of licence_texts.json, with their variants of title and closing part."""
+    path = os.path.join(os.path.dirname(__file__), "licence_texts.json")
+    with open(path, encoding="utf-8") as f:
+        return (*KNOWN, *((name, text) for name, text in json.load(f)))
+
+
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
     """(license, digest, known_lines): digests of the known texts, lines counted as written."""
+    known = known_texts() if known is None else known
     if len(known) > MOST:
         raise ValueError(f"more than {MOST} known texts")
     rows = spark.createDataFrame([(name, text) for name, text in known], "license string, known string")
