@@ -39,11 +39,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df to a new table in the shared folder and read it back: the lineage ends here."""
+def staged(df: DataFrame, name: str, numbers: bool = False) -> DataFrame:
+    """Write df to a new table in the shared folder and read it back: the lineage ends here.
+
+    `numbers`: its columns are numbers of many different values, which differences keep small.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    kind = {"parquet.enable.dictionary": "false", "parquet.writer.version": "PARQUET_2_0"} if numbers else {}
+    df.write.options(**kind).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
