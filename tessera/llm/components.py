@@ -14,7 +14,7 @@ from tessera.llm import common
 
 def apart(key: str) -> Column:
     """A grouping key as a new expression: a join on it gets exchanges of its own, whose hot partitions can be split."""
-    return F.col(key) + F.lit(0).cast("long")
+    return F.when(F.col(key).isNotNull(), F.col(key))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,6 +33,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) for every node of an edge: root is the smallest node of its component, itself included as a row.
 
+    Nodes are numbers, or structs of them, which are ordered by their first fields first.
     Edges with a null end are ignored; loops and repeated edges do no harm; no edges give no rows.
     """
     now = common.staged(

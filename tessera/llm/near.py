@@ -1,15 +1,20 @@
-"""Near-duplicates by verified Jaccard similarity, for the pipeline.
+"""Near-duplicates of five-word runs at a Jaccard similarity of 0.8, for the pipeline, on top of op4's SimHash.
 
-Two texts are linked if the sets of their runs of five words have a Jaccard similarity of 0.8 or more. Equal sets
-are joined beforehand by a digest. Candidates share one of `BANDS` keys, each made of `ROWS` minimum hashes: at a
-similarity of 0.8 all keys differ once in 2,500 pairs, above it less often. A key's sets are put in a random order,
-other for every key, and each is compared with the `NEXT` before it: few sets are all compared, and many near copies
-of one text still meet some 160 others each, never all. Every candidate is verified on both whole texts.
+Texts with equal sets of runs are joined beforehand by a digest. Candidates come from two sides, as each finds what
+the other may miss, and every candidate is verified on both whole texts:
+
+- SimHash fingerprints of the sets within four bits, by `simhash.links` and its Golay keys. At a similarity of 0.8
+  two fingerprints differ in some ten bits, so this side alone finds the nearest pairs only.
+- `BANDS` keys of `ROWS` minimum hashes each: at a similarity of 0.8 all keys differ once in 2,500 pairs. A key's
+  sets are put in a random order, other for every key, and each is compared with the `NEXT` before it: few sets are
+  all compared, and many near copies of one text still meet some 160 others each, never all.
 
 Sorting is by range of (key, order), so that common keys are split; where a task's range ends, one key's sets
 aren't compared across it.
 
-Defined results: null and empty texts link to each other; rows without an id stay; repeated ids stay once.
+Defined results: words are lower-cased in A-Z only; null and empty texts link to each other; rows without an id
+stay; equal rows stay once; unlike texts that share an id are told apart; a text of any length is read as a whole
+by one task; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,116 +23,160 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm import common
+from tessera.llm import common, simhash
 from tessera.llm.components import components
+from tessera.llm.substring import _mixed, _run_hashes, _word_hashes, word_spans
 
 SHINGLE, BANDS, ROWS, NEXT = 5, 20, 5, 4
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the runs of five words; all words, where they are fewer."""
-    import xxhash
-
-    words = (text or "").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    line = " ".join(words).encode("utf-8", "surrogatepass")
-    ends = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in words])
-    n = max(1, len(words) - SHINGLE + 1)
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(line[a:b]) for a, b in zip([0, *ends[: n - 1].tolist()], (ends[-n:] - 1).tolist(), strict=True)], np.uint64))
-
-
-def minima(hashes: np.ndarray, odd: np.ndarray) -> np.ndarray:
-    """The least value of the hashes under each multiplier."""
-    least = np.full(len(odd), 0xFFFFFFFFFFFFFFFF, np.uint64)
-    for i in range(0, len(hashes), 1024):
-        x = hashes[i : i + 1024, None] * odd
-        x ^= x >> np.uint64(32)
-        x *= np.uint64(0x9E3779B97F4A7C15)
-        least = np.minimum(least, x.min(axis=0))
+def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its runs of five words; of all words, where they are fewer."""
+    if not texts:
+        return []
+    text = np.frombuffer(b" ".join(texts).lower(), np.uint8)
+    starts = np.cumsum([0, *(len(x) + 1 for x in texts[:-1])])
+    begins, ends = word_spans(text)
+    if not len(begins):
+        return [np.zeros(0, np.uint64) for _ in texts]
+    words = _word_hashes(text, begins, ends, [np.ones(1, np.uint64)])
+    first = [*np.searchsorted(begins, starts).tolist(), len(begins)]
+    runs = _run_hashes(words, SHINGLE, {}) if len(words) >= SHINGLE else words[:0]
+    out = []
+    for a, b in zip(first[:-1], first[1:], strict=True):
+        if b - a >= SHINGLE:
+            out.append(np.unique(runs[a : b - SHINGLE + 1]))
+        else:
+            out.append(_run_hashes(words[a:b], b - a, {}) if b > a else words[:0])
+    return out
+
+
+def _minima(hashes: np.ndarray, odd: np.ndarray) -> np.ndarray:
+    """The least value of the hashes' upper halves under each multiplier."""
+    least = np.full(len(odd), 0xFFFFFFFF, np.uint32)
+    upper = (hashes >> np.uint64(32)).astype(np.uint32)
+    for i in range(0, len(upper), 256):
+        np.minimum(least, (upper[i : i + 256, None] * odd).min(axis=0), out=least)
     return least
 
 
+def _fingerprint(hashes: np.ndarray) -> int:
+    ones = np.zeros(64, np.int64)
+    for i in range(0, len(hashes), 1 << 14):
+        ones += np.unpackbits(hashes[i : i + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+
+
+def _rows(documents: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    rows = documents.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).where("id is not null")
+    return rows.select("id", F.xxhash64("text").alias("text_hash"), "text")
+
+
 def _sketches(documents: DataFrame) -> DataFrame:
-    """(id, digest, keys) of every row with an id."""
+    """(id, text_hash, digest, fp, keys) of every row with an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        odd = np.random.default_rng(11).integers(0, 1 << 63, BANDS * ROWS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        rng = np.random.default_rng(11)
+        odd = rng.integers(0, 1 << 31, BANDS * ROWS).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+        weight = rng.integers(0, 1 << 62, ROWS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
         for batch in common.slices(batches, rows=512, size=2 << 20):
-            digests, keys = [], []
-            for text in batch.column("text").to_pylist():
-                h = shingles(text)
-                digests.append(xxhash.xxh128_digest(h.tobytes()))
-                bands = minima(h, odd).reshape(BANDS, ROWS)
-                keys.append([xxhash.xxh64_intdigest(b.tobytes(), i) - (1 << 63) for i, b in enumerate(bands)] if len(h) else [])
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["id", "digest", "keys"])
+            sets = shingle_sets(batch.column("text").to_pylist())
+            least = np.array([_minima(h, odd) for h in sets], np.uint64).reshape(len(sets), BANDS, ROWS)
+            band = _mixed((least * weight).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)[None, :]).view(np.int64)
+            keys = [b if len(h) else b[:0] for b, h in zip(band, sets, strict=True)]
+            digests = [xxhash.xxh128_digest(h.tobytes()) for h in sets]
+            columns = (batch.column("id"), batch.column("text_hash"), pa.array(digests, pa.binary()), pa.array([_fingerprint(h) for h in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(list(columns), ["id", "text_hash", "digest", "fp", "keys"])
+
+    return _rows(documents).mapInArrow(run, "id long, text_hash long, digest binary, fp long, keys array<long>")
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null")
-    return rows.mapInArrow(run, "id long, digest binary, keys array<long>")
 
+def _name(node: str) -> F.Column:
+    """A node (id, text_hash) as one number, to sort and join by; the texts tell apart any two that collide."""
+    return F.xxhash64(F.col(f"{node}.id"), F.col(f"{node}.text_hash"))
 
-def _candidates(sketches: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of ids, a < b, that are near each other in the order of a key."""
+
+def _by_minima(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of names that are near each other in the order of a key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        key, names = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             old = len(key)
             key = np.concatenate([key, batch.column("key").to_numpy()])
-            ids = np.concatenate([ids, batch.column("id").to_numpy()])
+            names = np.concatenate([names, batch.column("name").to_numpy()])
             for d in range(1, NEXT + 1):
                 at = np.arange(max(old, d), len(key))
-                at = at[(key[at] == key[at - d]) & (ids[at] != ids[at - d])]
-                a, b = ids[at], ids[at - d]
+                at = at[(key[at] == key[at - d]) & (names[at] != names[at - d])]
+                a, b = names[at], names[at - d]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-            key, ids = key[-NEXT:], ids[-NEXT:]
+            key, names = key[-NEXT:], names[-NEXT:]
+
+    keyed = sets.select("name", F.explode("keys").alias("key")).withColumn("order", F.xxhash64("name", "key"))
+    keyed = keyed.repartitionByRange(common.partitions(sets.sparkSession), "key", "order").sortWithinPartitions("key", "order")
+    return keyed.select("key", "name").mapInArrow(run, "a long, b long")
+
 
-    keyed = sketches.select("id", F.explode("keys").alias("key")).withColumn("order", F.xxhash64("id", "key"))
-    keyed = keyed.repartitionByRange(common.partitions(sketches.sparkSession), "key", "order").sortWithinPartitions("key", "order")
-    return keyed.select("key", "id").mapInArrow(run, "a long, b long").distinct()
+def _by_fingerprints(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of names: sets of one fingerprint with its least name, least names of fingerprints within four bits."""
+    marks = common.staged(sets.groupBy("fp").agg(F.min("name").alias("least")), "marks")
+    same = sets.join(marks.select(F.col("fp").alias("f"), "least"), F.col("fp") == F.col("f")).where("name <> least").select(F.col("least").alias("a"), F.col("name").alias("b"))
+    ends = [marks.select(F.col("fp").alias(f"f{x}"), F.col("least").alias(f"n{x}")) for x in "ab"]
+    near = simhash.links(marks.select("fp")).join(ends[0], F.col("a") == F.col("fa")).join(ends[1], F.col("b") == F.col("fb"))
+    return same.union(near.select(F.col("na").alias("a"), F.col("nb").alias("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes whose whole texts are similar."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None)
         for batch in common.slices(batches, rows=512, size=4 << 20):
+            xs, ys = batch.column("x").to_pylist(), batch.column("y").to_pylist()
+            place: dict[bytes, int] = {}
+            for t in (*xs, *ys):
+                place.setdefault(t, len(place))
+            sets = shingle_sets(list(place))
             keep = []
-            for a, x, y in zip(batch.column("a").to_pylist(), batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                if last[0] != (a, x):
-                    last = ((a, x), shingles(x))
-                one, two = last[1], shingles(y)
+            for x, y in zip(xs, ys, strict=True):
+                one, two = sets[place[x]], sets[place[y]]
+                if min(len(one), len(two)) < similarity * max(len(one), len(two)):
+                    keep.append(False)
+                    continue
                 both = len(np.intersect1d(one, two, assume_unique=True))
                 keep.append(both >= similarity * (len(one) + len(two) - both))
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], ["a", "b"])
 
-    one = texts.select(F.col("id").alias("i"), F.col("text").alias("x"))
-    two = texts.select(F.col("id").alias("j"), F.col("text").alias("y"))
-    both = pairs.join(two, F.col("b") == F.col("j")).join(one, F.col("a") == F.col("i"))
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-
-
-def links(documents: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """Edges (a, b) between ids: copies to their least id, and verified pairs of those."""
-    sketches = common.staged(_sketches(documents), "sketches")
-    least = sketches.groupBy("digest").agg(F.min("id").alias("a"), F.first("keys").alias("keys"))
-    least = common.staged(least, "least")
-    copies = sketches.join(least.select(F.col("digest").alias("d"), "a"), F.col("digest") == F.col("d")).where("id <> a").select("a", F.col("id").alias("b"))
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where("id is not null")
-    pairs = common.staged(_candidates(least.select(F.col("a").alias("id"), "keys")), "candidates")
-    return copies.union(_verified(pairs, texts, similarity))
+    texts = rows.select(F.struct("id", "text_hash").alias("node"), F.xxhash64("id", "text_hash").alias("name"), "text")
+    one, two = (texts.select(F.col("name").alias(f"n{t}"), F.col("node").alias(f"node_{c}"), F.col("text").alias(t)) for t, c in (("x", "a"), ("y", "b")))
+    both = pairs.join(two, F.col("b") == F.col("ny")).join(one, F.col("a") == F.col("nx"))
+    kind = "struct<id:bigint,text_hash:bigint>"
+    return both.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "x", "y").mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def one_of_each(documents: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """The documents with the smallest id of their component; rows without an id stay, repeated ids stay once."""
-    roots = common.staged(components(common.staged(links(documents, similarity), "near_links"), "a", "b"), "roots")
-    gone = roots.where("node <> root").select(F.col("node").alias("_gone"))
-    known = documents.where("doc_id is not null").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    once = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    known = known.withColumn("_once", once).where("_once = 1").select(*documents.columns)
-    return known.union(documents.where("doc_id is null"))
+    """Of each component the row with the smallest id (and of that, text); rows without an id stay."""
+    rows, sketches = _rows(documents), common.staged(_sketches(documents), "sketches")
+    sets = sketches.groupBy("digest").agg(F.min(F.struct("id", "text_hash")).alias("node"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
+    sets = common.staged(sets.withColumn("name", _name("node")), "sets")
+    some = sets.where(F.size("keys") > 0)
+    pairs = common.staged(_by_minima(some).union(_by_fingerprints(some.select("fp", "name"))).distinct(), "candidates")
+    links = common.staged(_verified(pairs, rows, similarity), "near_links")
+    least = components(links, "a", "b").where("node <> root").select("node")
+    owner = sketches.select("id", "text_hash", "digest").join(sets.select(F.col("digest").alias("d"), "node"), F.col("digest") == F.col("d"))
+    gone = least.union(owner.select(F.struct("id", "text_hash").alias("own"), "node").where("own <> node").select("own").distinct())
+    gone = common.staged(gone.select(F.col("node.id").alias("_id"), F.col("node.text_hash").alias("_text")), "gone")
+    names, here = documents.columns, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    known = documents.where("doc_id is not null").withColumn("_hash", here)
+    known = known.join(gone, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_hash") == F.col("_text")), "left_anti")
+    again = sketches.groupBy("id", "text_hash").count().where("count > 1").select(F.col("id").alias("_id"), F.col("text_hash").alias("_text"))
+    again = common.staged(again, "again")
+    if not again.isEmpty():  # equal rows, which share id and text
+        where = (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_hash") == F.col("_text"))
+        known = known.join(again, where, "left_anti").union(known.join(again, where, "left_semi").dropDuplicates(["doc_id", "_hash"]))
+    return known.select(*names).union(documents.where("doc_id is null"))

@@ -14,7 +14,7 @@ by chunk in further tasks. Equal fingerprints are joined beforehand, so copies c
 
 Defined results: null or empty texts, and texts of white space alone, have fingerprint zero and link to each
 other; repeated rows each stay; a null doc_id gets the smallest known id of its component; extra columns are
-left out; an empty table gives no rows.
+left out; an empty table gives no rows. A text of any length is read as a whole by one task, its shingles in turn.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import common
@@ -32,6 +32,7 @@ from tessera.llm.components import apart, components
 
 #: Longest runs of a key whose pairs are all compared at once.
 _SMALL = 8
+_BRANCHES = 32
 #: The generator polynomial of the (23, 12) Golay code.
 _GENERATOR = 0b101011100011
 
@@ -128,7 +129,10 @@ def fingerprints(documents: DataFrame, shingle: int = 4, seed: int = 42) -> Data
 
 
 def _forest(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the links among fingerprints; each is compared with what is not yet reached."""
+    """Edges of a forest that joins linked fingerprints; each is compared with what is not yet reached.
+
+    What one fingerprint reaches hangs on it as a tree of `_BRANCHES` children a node, so that none has very many edges.
+    """
     left, one, two = fps, [], []
     while len(left):
         front, left = [left[0]], left[1:]
@@ -137,7 +141,7 @@ def _forest(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
             near = np.bitwise_count(left ^ f) <= distance
             if near.any():
                 got = left[near]
-                one.append(np.full(len(got), f, np.uint64))
+                one.append(np.concatenate([[f], got])[np.arange(len(got)) // _BRANCHES])
                 two.append(got)
                 front.extend(got)
                 left = left[~near]
@@ -239,25 +243,18 @@ def links(distinct: DataFrame, distance: int = 4, chunk: int = 4096) -> DataFram
 def near_duplicates(documents: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id, the smallest doc_id it can reach."""
     marked = common.staged(fingerprints(documents, shingle), "fingerprints")
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = common.staged(components(links(distinct.select("fp"), distance), "a", "b"), "roots")
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id")).select(apart("root").alias("k"), "component_id")
-    of = rooted.select("fp", "root").join(least, F.col("root") == F.col("k")).select(F.col("fp").alias("of_fp"), "component_id")
-    return marked.join(of, F.col("fp") == F.col("of_fp")).select(
+    distinct = common.staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
+    # nodes are ordered by id, so a component's root tells its smallest id; fingerprints without an id come last
+    nodes = distinct.select("fp", F.struct(F.col("first_id").isNull().alias("last"), F.col("first_id").alias("id"), "fp").alias("node"))
+    ends = [nodes.select(F.col("fp").alias(f"f{x}"), F.col("node").alias(f"node_{x}")) for x in "ab"]
+    edges = links(distinct.select("fp"), distance).join(ends[0], F.col("a") == F.col("fa")).join(ends[1], F.col("b") == F.col("fb"))
+    roots = components(edges, "node_a", "node_b").select(F.col("node.fp").alias("of_fp"), F.col("root.id").alias("least_id"))
+    of = distinct.join(roots, F.col("fp") == F.col("of_fp"), "left").select(apart("fp").alias("k"), F.coalesce("least_id", "first_id").alias("component_id"))
+    return marked.join(of, F.col("fp") == F.col("k")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def one_of_each(documents: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
-    """The documents with the smallest id of their component; rows without an id stay, repeated ids stay once."""
-    first = near_duplicates(documents, distance, shingle).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    known = documents.where("doc_id is not null").join(first, F.col("doc_id") == F.col("_kept"), "left_semi")
-    once = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    known = known.withColumn("_once", once).where("_once = 1").select(*documents.columns)
-    return known.union(documents.where("doc_id is null"))
-
-
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every row of `documents`."""
     return near_duplicates(common.table(spark, sf_dir, "documents"))

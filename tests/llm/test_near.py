@@ -14,11 +14,11 @@ def runs(text):
 def kept(rows, similarity=0.8):
     root = {i: i for i, _ in rows}
     sets = {i: runs(t) for i, t in rows}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])]
     for _ in rows:
         before = dict(root)
-        for a, b in itertools.combinations(sets, 2):
-            if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
-                root[a] = root[b] = min(root[a], root[b])
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
         if root == before:
             break
     return {i for i, r in root.items() if i == r}
@@ -38,3 +38,10 @@ def test_near_dedup_equals_brute_force_jaccard(spark, sf_dir):
     docs = spark.createDataFrame([*rows, rows[0], (None, rows[0][1])], "doc_id long, text string")
     got = [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()]
     assert sorted(i for i in got if i is not None) == sorted(kept(rows)) and got.count(None) == 1
+
+
+def test_unlike_texts_of_one_id_are_told_apart(spark, sf_dir):
+    text = lambda p: " ".join(f"{p}{i}" for i in range(60))
+    rows = [(1, text("a")), (2, text("a")), (2, text("b")), (2, text("b")), (3, text("b").upper()), (4, text("c")), (4, text("c") + " d e")]
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir).collect()
+    assert sorted((r["doc_id"], r["text"][0]) for r in got) == [(1, "a"), (2, "b"), (4, "c")]
