@@ -3,8 +3,8 @@
 A source's repetition rate is its target share of the output over its share of the corpus, counted in
 characters. Each document draws its number of copies from a Poisson distribution with that mean by inverting
 the distribution at a uniform number hashed from (seed, doc_id): the number of distribution values at or below
-it. Documents are exploded by their counts and shuffled globally by a hash of (seed, doc_id, copy):
-it deals the copies out to the partitions and orders them there.
+it. Documents are exploded by their counts and shuffled globally by a hash of (seed, doc_id, copy, text): it deals
+the copies out to the partitions and orders them there, those of one id or of none too.
 
 Rates and distribution tables have one row per source. They are broadcast while there are at most
 `broadcast_sources` sources; beyond, they are joined by a shuffle whose skewed side adaptive execution splits.
@@ -13,7 +13,7 @@ Defined results: a null source is a source of its own, a source without a target
 has no characters but is drawn at its source's rate; a source of no characters at all is drawn at rate 1;
 repeated rows draw alike, as the draw depends on the doc_id; a null doc_id draws as the text ''; extra columns
 are kept, except for those named like the added ones (copy, copies, rate, shuffle_key), which are replaced;
-an empty table gives no rows.
+an empty table gives no rows. A very long text is one row, as short ones are, and never leaves the JVM.
 """
 
 from __future__ import annotations
@@ -39,17 +39,25 @@ def _digest(*parts: Column) -> Column:
 
 def temperature_weights(documents: DataFrame, alpha: float = 0.5) -> DataFrame:
     """(source, weight): each source's characters to the power alpha, so that large sources repeat less."""
-    chars = F.sum(F.length(F.coalesce("text", F.lit(""))).cast("long"))
-    return documents.groupBy("source").agg(F.pow(chars.cast("double"), F.lit(alpha)).alias("weight"))
+    return source_sizes(documents).select("source", F.pow("chars", F.lit(alpha)).alias("weight"))
+
+
+def source_sizes(documents: DataFrame) -> DataFrame:
+    """(source, chars): the characters of each source."""
+    chars = F.coalesce(F.sum(F.length(F.coalesce("text", F.lit(""))).cast("long")), F.lit(0)).cast("double")
+    return documents.groupBy("source").agg(chars.alias("chars"))
 
 
 def rates(documents: DataFrame, weights: DataFrame, epochs: float = 1.0, most: float | None = None) -> DataFrame:
+    """The rates of `size_rates` for the sources of these documents."""
+    return size_rates(source_sizes(documents), weights, epochs, most)
+
+
+def size_rates(has: DataFrame, weights: DataFrame, epochs: float = 1.0, most: float | None = None) -> DataFrame:
     """(source, rate): copies expected of each document, so that the output holds `epochs` times the characters.
 
     `most`, where given, bounds how often a small source repeats; the mixture then misses its weights.
     """
-    chars = F.coalesce(F.sum(F.length(F.coalesce("text", F.lit(""))).cast("long")), F.lit(0)).cast("double")
-    has = documents.groupBy("source").agg(chars.alias("chars"))
     wanted = weights.select(F.col("source").alias("w_source"), F.col("weight").cast("double"))
     both = has.join(wanted, F.col("source").eqNullSafe(F.col("w_source")), "left").select("source", "chars", F.coalesce("weight", F.lit(0.0)).alias("weight"))
     total = both.agg(F.sum("chars").alias("all_chars"), F.sum("weight").alias("all_weight")).first()
@@ -94,15 +102,17 @@ def replicate(documents: DataFrame, source_rates: DataFrame, seed: int = 7, broa
     drawn = rows.join(tables, F.col("source").eqNullSafe(F.col("_source")))
     drawn = drawn.withColumn("copies", (F.col("_low") + F.size(F.filter("_cdf", lambda c: c <= uniform))).cast("long")).drop("_source", "_cdf", "_low")
     drawn = drawn.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    drawn = drawn.withColumn("shuffle_key", _digest(F.lit(f"{seed}-order"), ident, F.col("copy").cast("string")))
+    text = F.coalesce(F.md5(F.col("text").cast("string").cast("binary")), F.lit(""))
+    drawn = drawn.withColumn("shuffle_key", _digest(F.lit(f"{seed}-order"), ident, F.col("copy").cast("string"), text))
     parts = common.partitions(documents.sparkSession)
     return drawn.repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key", "doc_id", "copy")
 
 
 def mix(documents: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, seed: int = 7, most: float | None = None) -> DataFrame:
-    """Mix to the given weights, or to those of `temperature_weights`."""
-    weights = temperature_weights(documents) if weights is None else weights
-    return replicate(documents, common.staged(rates(documents, weights, epochs, most), "rates"), seed)
+    """Mix to the given weights, or to those of `temperature_weights` with a power of a half."""
+    sizes = common.staged(source_sizes(documents), "sizes")
+    weights = sizes.select("source", F.sqrt("chars").alias("weight")) if weights is None else weights
+    return replicate(documents, common.staged(size_rates(sizes, weights, epochs, most), "rates"), seed)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +127,7 @@ SQL = {
 WITH RECURSIVE
 s AS (SELECT source, CAST(coalesce(sum(length(coalesce(text, ''))), 0) AS DOUBLE) AS chars FROM documents GROUP BY source),
 t AS (SELECT sum(chars) AS all_chars, sum(pow(chars, 0.5)) AS all_weight FROM s),
-r AS (SELECT source, CASE WHEN chars > 0 THEN least(round(pow(chars, 0.5) * (1.0::DOUBLE * all_chars) / all_weight / chars, 9), 16.0::DOUBLE) ELSE 1.0::DOUBLE END AS rate FROM s, t),
+r AS (SELECT source, CASE WHEN chars > 0 THEN round(pow(chars, 0.5) * (1.0::DOUBLE * all_chars) / all_weight / chars, 9) ELSE 1.0::DOUBLE END AS rate FROM s, t),
 p AS (
   SELECT source, rate, 0 AS k, exp(-rate) AS p, exp(-rate) AS c FROM r
   UNION ALL
@@ -128,7 +138,7 @@ n AS (
   SELECT doc_id, d.source, text, (SELECT count(*) FROM p WHERE p.source IS NOT DISTINCT FROM d.source AND p.c <= d.u) AS copies FROM d),
 e AS (SELECT doc_id, source, text, copies, unnest(range(copies)) AS copy FROM n WHERE copies > 0)
 SELECT doc_id, source, copies, copy,
-  CAST('0x' || substr(md5('7-order:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || copy), 1, 13) AS BIGINT) AS shuffle_key,
+  CAST('0x' || substr(md5('7-order:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || copy || ':' || coalesce(md5(text), '')), 1, 13) AS BIGINT) AS shuffle_key,
   CAST(length(text) AS BIGINT) AS chars, md5(text) AS text_md5
 FROM e"""
 }
