@@ -25,20 +25,33 @@ def test_query_equals_sql(spark, sf_dir, name):
     pd.testing.assert_frame_equal(a, b, check_dtype=False)
 
 
-VECTORS = [(0, [0.5, -0.25, 1.0]), (0, [0.5, -0.25, 1.0]), (50, [1.0, 1.0, -1.0]), (100, [0.0, 0.0, 0.0]), (1, None), (2, [None, 1.0, 0.0]), (3, [math.nan, 0.0, 0.0]),
+VECTORS = [(0, [0.5, -0.25, 1.0]), (0, [0.5, -0.25, 1.0]), (0, [9.5, -0.25, 1.0]), (50, [1.0, 1.0, -1.0]), (100, [0.0, 0.0, 0.0]), (1, None), (2, [None, 1.0, 0.0]), (3, [math.nan, 0.0, 0.0]),
            (4, [math.inf, 0.0, 0.0]), (5, [0.5, -0.25, 1.0]), (6, [0.5, -0.25, 1.0]), (7, [1.0]), (8, []), (None, [1.0, 1.0, 1.0]), (9, [-3.7, 2.2, 0.1]), (150, [-0.001, 5.0, 9.0])]
 
 
 @pytest.mark.parametrize("block_rows", [2, 100])
 def test_top_k_equals_brute_force(spark, block_rows):
     rows = spark.createDataFrame([(i, v, 1) for i, v in VECTORS], "vec_id long, embedding array<float>, block int")
-    usable = {i: [math.floor(256 * x) for x in r["embedding"]] for r in rows.collect() if (i := r["vec_id"]) is not None and r["embedding"] is not None and all(x is not None and math.isfinite(x) for x in r["embedding"])}
+    usable = [(i, [math.floor(256 * x) for x in r["embedding"]]) for r in rows.collect() if (i := r["vec_id"]) is not None and r["embedding"] is not None and all(x is not None and math.isfinite(x) for x in r["embedding"])]
+    want = Counter()
+    for n, (q, w) in enumerate(usable):
+        if q % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(w, v, strict=False)), i) for m, (i, v) in enumerate(usable) if m != n)
+            want.update((q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:5]))
+    assert Counter(tuple(r) for r in bitsliced.top_k(rows, block_rows=block_rows).collect()) == want
+
+
+def test_top_k_in_a_grid_with_large_components(spark, monkeypatch):
+    numbers = [(i, [float((i * 7919) % 1013) * 1e4, -float(i % 17), 0.25 * i]) for i in range(0, 400, 2)]
+    rows = spark.createDataFrame(numbers, "vec_id long, embedding array<double>")
+    vectors = bitsliced.common.staged(bitsliced.quantised(rows).select(F.col("vec_id").alias("number"), "vec_id", "v"), "v")
+    got = bitsliced.search(bitsliced.build_index(vectors, 9), vectors.where("vec_id % 50 = 0"), 9, 5, query_rows=1).collect()
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in numbers}
     want = set()
-    for q in (i for i in usable if i % 50 == 0):
-        scored = sorted((-sum(a * b for a, b in zip(usable[q], v, strict=False)), i) for i, v in usable.items() if i != q)
+    for q in (i for i in whole if i % 50 == 0):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)
         want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:5])}
-    got = [tuple(r) for r in bitsliced.top_k(rows, block_rows=block_rows).collect()]
-    assert len(got) == len(set(got)) and set(got) == want
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
 def test_top_k_without_rows(spark):
