@@ -9,12 +9,15 @@ Features come from the text alone. Inference runs side by side over the texts of
 
 Defined results: a null text counts as empty, and an empty text is one empty line and has that line's score;
 lines without characters weigh as one character; repeated rows each keep a row; extra columns are left out;
-an empty table gives no rows; without labelled rows to learn from every score is 0.5.
+an empty table gives no rows; without labelled rows to learn from every score is 0.5; a null doc_id gives a null
+held_out. Texts of more than `LONG` lines are scored in blocks of `_BLOCK` bytes of lines with carried messages, which
+take some 40 bytes a line, and the lines seen so far are remembered for the text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import exp, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +27,18 @@ from pyspark.sql import functions as F
 from tessera.llm import common
 
 _RESULT = "doc_id long, held_out boolean, score double, predicted int"
+#: Lines of a text that are scored side by side with other texts; bytes of a longer text that are looked at together.
+LONG, _BLOCK = 5_000, 20_000
 #: Byte classes that are counted per line: capitals, digits, blanks, symbols, bars, exclamation marks, points, non-ASCII bytes.
 _CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t", b"#*$%&<>@^~_={}[]\\", b"|", b"!?", b".,;:", bytes(range(128, 256)))
 FEATURES = len(_CLASSES) + 8
 
 
-def line_features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features (lines x FEATURES), length in bytes of each line, and the number of lines of each text."""
+def line_features(texts: list[bytes | None], before: set[bytes] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features (lines x FEATURES), length in bytes of each line, and the number of lines of each text.
+
+    `before` holds the lines of one text that came before these, and grows.
+    """
     lut = np.full(256, len(_CLASSES), np.uint8)
     for i, some in enumerate(_CLASSES):
         lut[list(some)] = i
@@ -40,12 +48,13 @@ def line_features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np
         own = (text or b"").split(b"\n")
         per_text.append(len(own))
         lines += own
-        seen: set[bytes] = set()
+        seen: set[bytes] = set() if before is None else before
         for line in own:
             words = line.split()
             different = set(words)
             again = bool(words) and line in seen
-            seen.add(line)
+            if words:
+                seen.add(line)
             capital = sum(map(bytes.isupper, words)) if line != line.lower() else 0
             fresh.append((len(words), len(different), float(again), capital))
     size = np.fromiter(map(len, lines), np.int64, len(lines))
@@ -155,14 +164,77 @@ def score_texts(texts: list[bytes | None], model: dict) -> np.ndarray:
     return np.bincount(owner, good * weight, len(per_text)) / np.bincount(owner, weight, len(per_text))
 
 
-def sample_labelled(documents: DataFrame, labels: DataFrame, rows: int = 3000, row_bytes: int = 30_000) -> tuple[list[bytes], np.ndarray]:
-    """Texts and labels of about `rows` documents that may be learnt from, chosen by a hash; long ones give `row_bytes`."""
+def _long_evidence(text: bytes, model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Evidence and length of every line of a long text, from blocks of its lines."""
+    lines = text.count(b"\n") + 1
+    scaled = model["weights"] / model["scale"]
+    own, before, behind = scaled.reshape(3, FEATURES)
+    evidence, size = np.full(lines, -float(model["mean"] @ scaled)), np.zeros(lines, np.int32)
+    at, n, seen = 0, 0, set()
+    while n < lines:
+        end = text.find(b"\n", min(at + _BLOCK, len(text)))
+        end = len(text) if end < 0 else end
+        features, sizes, (m,) = line_features([text[at:end]], seen)
+        evidence[n : n + m] += features @ own
+        evidence[n + 1 : n + m + 1] += (features @ before)[: lines - n - 1]
+        evidence[max(n - 1, 0) : n + m - 1] += (features @ behind)[0 if n else 1 :]
+        size[n : n + m] = sizes
+        at, n = end + 1, n + m
+    return evidence, size
+
+
+def _long_score(text: bytes, model: dict) -> float:
+    """The score of one text by messages in log-odds, line by line."""
+    evidence, size = _long_evidence(text, model)
+    (t00, t01), (t10, t11) = model["transition"].tolist()
+
+    def carried(x: float, a0: float, a1: float, b0: float, b1: float) -> float:  # log((e^b0 + e^(b1+x)) / (e^a0 + e^(a1+x)))
+        p, q, u, v = b0, b1 + x, a0, a1 + x
+        return max(p, q) + log1p(exp(-abs(p - q))) - max(u, v) - log1p(exp(-abs(u - v)))
+
+    forward, x = np.zeros(len(evidence)), None
+    for i, e in enumerate(evidence):
+        x = float(e) if x is None else float(e) + carried(x, t00, t10, t01, t11)
+        forward[i] = x
+    total = weight = x = 0.0
+    for i in range(len(evidence) - 1, -1, -1):
+        w = max(int(size[i]), 1)
+        total += w / (1 + exp(-max(-700.0, min(700.0, forward[i] + x))))
+        weight += w
+        x = carried(float(evidence[i]) + x, t00, t01, t10, t11)
+    return total / weight
+
+
+def score_batch(texts: list[bytes | None], model: dict) -> np.ndarray:
+    """The scores of texts; those of many lines by themselves, the others side by side, few lines at a time."""
+    score, held, lines = np.zeros(len(texts)), [], 0
+    for i, text in enumerate([*texts, None]):
+        n = text.count(b"\n") + 1 if text else 1
+        if i == len(texts) or lines + n > 4 * LONG:
+            if held:
+                score[held] = score_texts([texts[j] for j in held], model)
+            held, lines = [], 0
+        if i < len(texts):
+            if n > LONG:
+                score[i] = _long_score(text, model)
+            else:
+                held.append(i)
+                lines += n
+    return score
+
+
+def sample_labelled(documents: DataFrame, labels: DataFrame, rows: int = 3000, row_bytes: int = 200_000) -> tuple[list[bytes], np.ndarray]:
+    """Whole texts and labels of at most `rows` documents that may be learnt from, chosen by a hash.
+
+    Rows of more than `row_bytes` bytes are not learnt from; they are scored as all others.
+    """
     usable = labels.where("quality is not null and doc_id is not null").where(~common.held_out(F.col("doc_id")))
-    share = rows / max(1, usable.count())
+    share = 1.1 * rows / max(1, usable.count())
     draw = F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     some = usable.where(draw < share).groupBy(F.col("doc_id").alias("l")).agg(F.min("quality").alias("quality"))
-    text = F.substring(F.col("text").cast("binary"), 1, row_bytes).alias("text")
-    found = documents.join(F.broadcast(some), F.col("doc_id") == F.col("l")).where("text is not null").select("doc_id", text, "quality")
+    text = F.col("text").cast("string").cast("binary")
+    found = documents.join(F.broadcast(some), F.col("doc_id") == F.col("l")).where(text.isNotNull() & (F.octet_length(text) <= row_bytes))
+    found = found.select("doc_id", text.alias("text"), "quality", F.xxhash64(F.lit("row"), "doc_id", text).alias("draw")).orderBy("draw").limit(rows)
     got = sorted(((r["doc_id"], bytes(r["text"]), r["quality"]) for r in found.collect()))
     return [t for _, t, _ in got], np.array([q for _, _, q in got])
 
@@ -173,7 +245,7 @@ def classify(documents: DataFrame, model: dict, threshold: float = 0.3) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, size=3 << 20):
-            score = np.clip(score_texts(batch.column("text").to_pylist(), shared.value), 0, 1)
+            score = np.clip(score_batch(batch.column("text").to_pylist(), shared.value), 0, 1)
             predicted = (score >= threshold).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array(predicted)], ["doc_id", "held_out", "score", "predicted"]
