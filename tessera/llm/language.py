@@ -6,13 +6,13 @@ letter, estimate the cross entropy. The language with the least wins.
 
 The parse restarts at the automaton's start only, so automaton and restarts make one transition table per
 language, over that language's own letters: a dense one for up to `DENSE` letters, sorted edges for more. The
-tables, bounded by `states` in all, go to every task, which parses the texts of a batch side by side, one letter
+tables, bounded by the letters learnt, go to every task, which parses the texts of a batch side by side, one letter
 of each at a time. Texts are parsed in blocks of `BLOCK` letters, so that very long texts
 take no longer per letter.
 
 Defined results: null texts and texts without a letter are `und` with score 0; ties go to the language first
 in order; repeated rows each keep a row; extra columns are left out; an empty table, or one without labelled
-rows to learn from, gives `und` for every row.
+rows to learn from, gives `und` for every row; a null doc_id gives a null held_out.
 """
 
 from __future__ import annotations
@@ -34,16 +34,20 @@ _GAP = 0xFFFFFFFF
 _RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
-def sample_texts(documents: DataFrame, rows: int = 64, row_chars: int = 4_000) -> dict[str, list[str]]:
-    """About `rows` labelled texts per language that may be learnt from, chosen by a hash; long ones give `row_chars`."""
-    usable = documents.select("doc_id", "text", "lang").where("text is not null and lang is not null").where(~common.held_out(F.col("doc_id")))
+def sample_texts(documents: DataFrame, rows: int = 64, row_chars: int = 20_000) -> dict[str, list[str]]:
+    """About `rows` whole labelled texts per language that may be learnt from, chosen by a hash of id and text.
+
+    Rows of more than `row_chars` characters are not learnt from; equal rows count once.
+    """
+    usable = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "lang").where("text is not null and lang is not null")
+    usable = usable.where(~common.held_out(F.col("doc_id"))).where(F.length("text") <= row_chars)
     counts = usable.groupBy("lang").count().select(F.col("lang").alias("l"), "count")
-    draw = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    draw = F.pmod(F.xxhash64(F.lit("language"), "doc_id", "text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     some = usable.withColumn("draw", draw).join(F.broadcast(counts), F.col("lang") == F.col("l")).where(F.col("draw") * F.col("count") < 1.5 * rows)
     texts: dict[str, list] = {}
-    for r in some.select("lang", "draw", "doc_id", F.substring("text", 1, row_chars).alias("text")).collect():
-        texts.setdefault(r["lang"], []).append((r["draw"], r["doc_id"], r["text"]))
-    return {lang: [t for _, _, t in sorted(found)[:rows]] for lang, found in sorted(texts.items())}
+    for r in some.select("lang", "draw", "text").distinct().collect():
+        texts.setdefault(r["lang"], []).append((r["draw"], r["text"]))
+    return {lang: [t for _, t in sorted(found)[:rows]] for lang, found in sorted(texts.items())}
 
 
 def _clean(text: str) -> str:
@@ -81,20 +85,31 @@ def automaton(codes: list[int]) -> list[dict[int, int]]:
     return step
 
 
-def fit(texts: dict[str, list[str]], chars: int = 24_000, states: int = 400_000) -> dict:
+def _fitting(texts: list[str], chars: int) -> str:
+    """As many of the texts, whole, as `chars` letters hold, in order; the shortest one if none fits."""
+    clean, held, room = [c for c in map(_clean, texts) if c], [], chars
+    for c in clean:
+        if len(c) <= room:
+            held.append(c)
+            room -= len(c) + 1
+    return " ".join(held or sorted(clean, key=len)[:1])
+
+
+def fit(texts: dict[str, list[str]], chars: int = 24_000, dense_bytes: int = 256 << 20) -> dict:
     """The model: languages, letters of all, and for each language its table and bits a phrase.
 
-    `chars` letters are taken per language, fewer where all automata together would pass `states` states.
+    Each language learns from whole texts of some `chars` letters in all, however many languages there are. Its
+    table is dense while all dense ones stay within `dense_bytes`; sorted edges take its place beyond, of some 40
+    bytes a letter, with equal results.
     """
-    chars = min(chars, states // (2 * max(1, len(texts))))
-    joined = {lang: " ".join(map(_clean, some))[:chars] for lang, some in texts.items()}
-    joined = {lang: text for lang, text in joined.items() if text.strip()}
+    joined = {lang: text for lang, some in texts.items() if (text := _fitting(some, chars))}
     letters = sorted(set("".join(joined.values())) | {" "})
-    tables = [_table(text, letters) for text in joined.values()]
+    size = sum(8 * len(text) * (len(set(text)) + 1) for text in joined.values() if len(set(text)) <= DENSE)
+    tables = [_table(text, letters, DENSE if size <= dense_bytes else 0) for text in joined.values()]
     return {"langs": list(joined), "letters": letters, "tables": tables, "bits": np.array([log2(len(text) + 1) for text in joined.values()])}
 
 
-def _table(text: str, letters: list[str]) -> dict:
+def _table(text: str, letters: list[str], dense_letters: int) -> dict:
     """A language's own codes of all letters (0: not its own) and its transitions; the lowest bit counts a new phrase."""
     code = {c: i + 1 for i, c in enumerate(sorted(set(text)))}
     step = automaton([code[c] for c in text])
@@ -103,7 +118,7 @@ def _table(text: str, letters: list[str]) -> dict:
     root = np.array([2 * step[0].get(c, 0) + 1 for c in range(width)], np.int32)
     keys = np.array([s * width + c for s, edges in enumerate(step) for c in sorted(edges)], np.int64)
     goals = np.array([2 * edges[c] for edges in step for c in sorted(edges)], np.int32)
-    if width > DENSE + 1:
+    if width > dense_letters + 1:
         return {"own": own, "width": width, "root": root, "keys": keys, "goals": goals}
     dense = np.tile(root, len(step))
     dense[keys] = goals
@@ -157,7 +172,8 @@ def phrases(texts: list[str | None], model: dict, lut: np.ndarray) -> tuple[np.n
         own, state = table["own"][codes], np.zeros(len(block_owner), np.int64)
         for t, k in enumerate(active):
             got = _follow(table, state[:k], own[block_start[:k] + t])
-            count[lang, :k] += got & 1
+            if t:  # the first letter opens the first phrase
+                count[lang, :k] += got & 1
             state[:k] = got >> 1
     total = np.zeros((len(texts), langs), np.int64)
     np.add.at(total, block_owner, count.T + 1)
@@ -167,7 +183,7 @@ def phrases(texts: list[str | None], model: dict, lut: np.ndarray) -> tuple[np.n
 def identify(documents: DataFrame, model: dict) -> DataFrame:
     """doc_id, held_out, lang_pred and a score in [0, 1] for every row, from its text alone."""
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # at most `states` rows of `DENSE` + 1 integers, or two edges a state
+    shared = spark.sparkContext.broadcast(model)  # at most `dense_bytes`, or some 40 bytes for each letter learnt
     luts: list[np.ndarray] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
