@@ -23,12 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; one is made only where none is set (tests)."""
+    """The folder all executors share: spark.checkpoint.dir; a local session without one gets a folder of its own."""
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: executors need a folder that all of them share")
         folder = tempfile.mkdtemp(prefix="tessera-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)

@@ -8,8 +8,9 @@ times while lengths last, and packs what is left by best fit, longest first.
 
 Only the histogram (at most one row per unit) reaches the driver, and only the combinations in use go back.
 
-Defined results: a null or empty text has the end id alone; repeated rows are packed each on its own; extra
-columns are left out; an empty table gives no rows.
+Defined results: a null or empty text has the end id alone; repeated rows are packed each on its own; rests of one
+length go in the order of the staged table; extra columns are left out; an empty table gives no rows. A text of any
+length is encoded whole by one task, and its whole windows are sequences of their own.
 """
 
 from __future__ import annotations
@@ -76,7 +77,7 @@ def solve(counts: np.ndarray) -> list[tuple[tuple[int, ...], float]]:
 
     used: list[int] = []
     matrix, x = np.zeros((units + 1, 0)), np.zeros(0)
-    for _ in range(3 * units):
+    for _ in range(30 * units):  # far more than the method takes; a rest beyond them is packed by best fit
         rest = target - matrix @ x
         rest[0] = 0
         gain = rest[combos].sum(axis=1)

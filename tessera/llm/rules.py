@@ -7,7 +7,8 @@ A policy is a versioned mask over those bits: applying it, or a changed version
 Everything is built-in functions over the row's own text; nothing is shuffled to measure a document.
 
 Defined results: a null text has no words and counts as empty; repeated rows each keep a row; extra columns
-are left out; a null doc_id stays null; an empty table gives no rows.
+are left out; a null doc_id stays null; an empty table gives no rows. A text of any length is measured whole by one
+task, in the JVM; windows are compared by 64-bit hashes.
 """
 
 from __future__ import annotations

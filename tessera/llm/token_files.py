@@ -7,7 +7,7 @@ let a reader take the ids of a few documents, or the metadata alone, without rea
 
 Defined results: a null text counts as empty and has the end id alone; repeated rows and repeated ids each
 keep a row, ordered by id and then text; a null id comes first; extra columns are left out; an empty table
-gives an empty file set that reads back as no rows.
+gives an empty file set that reads back as no rows. A text of any length is encoded whole by one task and is one row.
 """
 
 from __future__ import annotations
