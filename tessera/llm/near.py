@@ -171,11 +171,13 @@ def one_of_each(documents: DataFrame, similarity: float = 0.8) -> DataFrame:
     owner = sketches.select("id", "text_hash", "digest").join(sets.select(F.col("digest").alias("d"), "node"), F.col("digest") == F.col("d"))
     gone = least.union(owner.select(F.struct("id", "text_hash").alias("own"), "node").where("own <> node").select("own").distinct())
     gone = common.staged(gone.select(F.col("node.id").alias("_id"), F.col("node.text_hash").alias("_text")), "gone")
+    again = sketches.groupBy("id", "text_hash").count().where("count > 1").select(F.col("id").alias("_id"), F.col("text_hash").alias("_text"))
+    again = common.staged(again, "again")
+    for table in (sketches, sets, pairs, links):
+        common.drop_staged(table)
     names, here = documents.columns, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
     known = documents.where("doc_id is not null").withColumn("_hash", here)
     known = known.join(gone, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_hash") == F.col("_text")), "left_anti")
-    again = sketches.groupBy("id", "text_hash").count().where("count > 1").select(F.col("id").alias("_id"), F.col("text_hash").alias("_text"))
-    again = common.staged(again, "again")
     if not again.isEmpty():  # equal rows, which share id and text
         where = (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_hash") == F.col("_text"))
         known = known.join(again, where, "left_anti").union(known.join(again, where, "left_semi").dropDuplicates(["doc_id", "_hash"]))
