@@ -111,9 +111,9 @@ def compact_name(text: Column) -> Column:
 
 
 def is_self_name(entity: Column, product: Column) -> Column:
-    """An entity that only names the product: equal when compacted, or five characters or more and contained."""
+    """An entity that only names the product: equal when compacted, or five characters or more and contained; a name without letters and digits names nothing."""
     e, p = compact_name(entity), compact_name(product)
-    return (e == p) | ((F.length(e) >= 5) & F.contains(p, e))
+    return ((e == p) & (e != "")) | ((F.length(e) >= 5) & F.contains(p, e))
 
 
 def iso_timestamp(text: Column) -> Column:

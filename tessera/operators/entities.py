@@ -57,9 +57,10 @@ def with_support(mentions: DataFrame) -> DataFrame:
 def filtered(mentions: DataFrame) -> DataFrame:
     """Accepted entities: one row per product, type and value, the best-scored mention."""
     hit = with_support(mentions).withColumn("hit", classify(F.col("label"), F.col("entity_text"), F.col("support_products"), F.col("score"))).where("hit is not null")
-    rows = hit.select("slug", "hit.*", F.col("entity_text").alias("source_span"), "score", "support_products")
-    best = Window.partitionBy("slug", "entity_type", "canonical_value").orderBy(F.desc("score"), "source_span")
-    return rows.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n")
+    rows = hit.select("slug", "hit.*", F.col("entity_text").alias("source_span"), "score", "support_products", "label")
+    order = F.struct((-F.col("score")).alias("s"), "source_span", (-F.col("support_products")).alias("n"), "label")
+    best = rows.groupBy("slug", "entity_type", "canonical_value").agg(F.min_by(F.struct("source_span", "score", "support_products"), order).alias("r"))
+    return best.select("slug", "entity_type", "canonical_value", "r.*")
 
 
 def per_product(mentions: DataFrame, names: DataFrame) -> DataFrame:

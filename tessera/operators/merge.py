@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 
 def fold(batch: DataFrame, key: str, rules: dict[str, str], ordinal: str) -> DataFrame:
-    """One row per key. Rules: last, last_set (last non-null), first_set, max, min, any, sum."""
+    """One row per key. Rules: last, first, last_set (last non-null), first_set, max, min, any, sum."""
     def of(c: str, rule: str) -> Column:
         if rule == "last":
             return F.max_by(c, ordinal)
+        if rule == "first":
+            return F.min_by(c, ordinal)
         if rule == "last_set":
             return F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ordinal)))
         if rule == "first_set":

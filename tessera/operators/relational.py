@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def best_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key, the first by `order`."""
+    """One row per key, the first by `order`, found by a window over the key."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return rows.withColumn("_place", place).where("_place = 1").drop("_place")
 
@@ -24,15 +24,17 @@ def with_total(grouped: DataFrame, whole: DataFrame, name: str = "_all") -> Data
     return grouped.crossJoin(F.broadcast(whole.agg(F.count(F.lit(1)).alias(name))))
 
 
-def ntile(rows: DataFrame, n: int, number: str, tie: str, out: str, buckets: int = 1024) -> DataFrame:
+def ntile(rows: DataFrame, n: int, number: str, tie: str, out: str, buckets: int = 256) -> DataFrame:
     """Exact n-tiles over (number, tie) without gathering all rows in one task.
 
-    Rows fall into equal-width buckets of `number`; the counts of earlier buckets give each bucket's first
-    position, so only a bucket's own rows are ordered together.
+    Rows fall into buckets of `number` between approximate quantiles, which hold about as many rows each however
+    the numbers lie; the counts of earlier buckets give each bucket's first position, so only a bucket's own rows
+    are ordered together.
     """
-    span = rows.agg(F.min(number).alias("_low"), F.max(number).alias("_high"), F.count(F.lit(1)).alias("_n"))
-    width = F.greatest(F.lit(1), F.ceil((F.col("_high") - F.col("_low") + 1) / buckets))
-    dealt = rows.crossJoin(F.broadcast(span)).withColumn("_bucket", F.floor((F.col(number) - F.col("_low")) / width).cast("long"))
+    cuts = [i / buckets for i in range(1, buckets)]
+    span = rows.agg(F.percentile_approx(number, cuts, F.lit(10 * buckets)).alias("_cuts"), F.count(F.lit(1)).alias("_n"))
+    above = F.aggregate("_cuts", F.lit(0).cast("long"), lambda n, cut: n + (F.col(number) > cut).cast("long"))
+    dealt = rows.crossJoin(F.broadcast(span)).withColumn("_bucket", F.coalesce(above, F.lit(-1).cast("long")))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_c"))
     starts = starts.select("_bucket", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"))  # at most `buckets` rows
@@ -41,7 +43,7 @@ def ntile(rows: DataFrame, n: int, number: str, tie: str, out: str, buckets: int
     q, r = F.floor(F.col("_n") / n), F.pmod("_n", F.lit(n))
     large = r * (q + 1)
     tile = F.when(F.col("_i") < large, F.floor(F.col("_i") / (q + 1))).otherwise(r + F.floor((F.col("_i") - large) / F.greatest(q, F.lit(1))))
-    return placed.withColumn(out, (tile + 1).cast("long")).drop("_low", "_high", "_n", "_bucket", "_start", "_i")
+    return placed.withColumn(out, (tile + 1).cast("long")).drop("_cuts", "_n", "_bucket", "_start", "_i")
 
 
 def pair_counts(rows: DataFrame, key: str, values: list[str]) -> DataFrame:

@@ -67,11 +67,12 @@ def apply_catalogue_batch(products: DataFrame, source_ids: DataFrame, aliases: D
 def resolutions(current: DataFrame, batch: DataFrame, upgrade: bool) -> DataFrame:
     """Launch resolutions (post_slug, post_id, product_id, product_slug, outcome).
 
-    The first write wins; with `upgrade` a resolved row replaces one that isn't, never the other way, and the
+    The first write wins, by an ordinal where the batch has one and may repeat a launch; with `upgrade` a resolved row replaces one that isn't, never the other way, and the
     first known post_id stays.
     """
     if not upgrade:
-        return current.unionByName(insert_missing(current, batch.dropDuplicates(["post_slug"]), "post_slug"))
+        first = fold(batch, "post_slug", {c: "first" for c in batch.columns if c not in ("post_slug", "ordinal")}, "ordinal") if "ordinal" in batch.columns else batch
+        return current.unionByName(insert_missing(current, first, "post_slug"))
     new = batch.select("post_slug", *(F.col(c).alias(f"_n_{c}") for c in ("post_id", "product_id", "product_slug", "outcome")))
     both = current.join(new, "post_slug", "full_outer")
     better = F.col("outcome").isNull() | ((F.col("_n_outcome") == "resolved") & (F.col("outcome") != "resolved"))

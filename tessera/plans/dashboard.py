@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.plans.mart import TABLES, Mart
@@ -12,12 +12,24 @@ from tessera.plans.mart import TABLES, Mart
 def _sorts() -> dict[str, list[Column]]:
     """Sort orders of the search; an unknown name means the first."""
     return {
-        "recent": [F.desc_nulls_last("latest_post_id"), F.asc("slug")],
-        "relaunches": [F.desc("launch_count"), F.desc_nulls_last("latest_post_id"), F.asc("slug")],
-        "name": [F.lower("name").asc_nulls_last(), F.asc("slug")],
+        "recent": [F.desc_nulls_last("latest_post_id"), F.asc_nulls_last("name"), F.asc("slug")],
+        "relaunches": [F.desc("launch_count"), F.desc_nulls_last("latest_post_id"), F.asc_nulls_last("name"), F.asc("slug")],
+        "name": [F.asc_nulls_last("name"), F.asc("slug")],
     }
 
 
+#: Columns of a search result and of a product's fact row.
+SEARCH_COLUMNS = (
+    "slug", "name", "tagline", "website_host", "product_url", "source_categories", "launch_count", "latest_post_id",
+    "top_trusted_label", "top_trusted_label_score", "entity_count",
+)
+DETAIL_COLUMNS = (
+    "slug", "name", "tagline", "description", "website_url", "website_host", "product_url", "source_categories", "source_category_count",
+    "first_product_id", "latest_product_id", "product_id_count", "launch_count", "first_post_id", "latest_post_id", "trusted_label_count",
+    "top_trusted_label", "top_trusted_label_score", "entity_count", "tagline_source", "description_source", "has_external_website", "has_launch_mapping",
+)
+
+
 def clamp(value: int, low: int, high: int) -> int:
     return max(low, min(high, value))
 
@@ -27,7 +39,7 @@ def matching(mart: Mart, query: str = "", label: str = "", entity_type: str = ""
     found = mart.product_facts
     if query := query.strip()[:120]:
         pattern = f"%{query}%"
-        columns = ("name", "tagline", "description", "website_host")
+        columns = ("name", "slug", "tagline", "website_host")
         hit = F.lit(False)
         for c in columns:
             hit = hit | F.coalesce(F.ilike(F.col(c), F.lit(pattern)), F.lit(False))
@@ -42,24 +54,44 @@ def matching(mart: Mart, query: str = "", label: str = "", entity_type: str = ""
 
 
 def search(mart: Mart, sort: str = "recent", limit: int = 24, offset: int = 0, **filters: str) -> DataFrame:
-    """One page of matching products."""
+    """One page of matching products, each with the number of all that match."""
     order = _sorts().get(sort, _sorts()["recent"])
-    page = matching(mart, **filters).orderBy(*order).offset(clamp(offset, 0, 1_000_000)).limit(clamp(limit, 1, 48))
-    return page.select("slug", "name", "tagline", "website_host", "launch_count", "latest_post_id", "top_trusted_label", "entity_count")
+    found = matching(mart, **filters)
+    page = found.select(*SEARCH_COLUMNS).orderBy(*order).offset(clamp(offset, 0, 1_000_000)).limit(clamp(limit, 1, 48))
+    return page.crossJoin(F.broadcast(found.agg(F.count(F.lit(1)).alias("total_matches"))))  # one row
 
 
 def detail(mart: Mart, slug: str) -> DataFrame:
-    """A product's fact row with its labels by score and its entities in order; no row for an unknown slug."""
+    """A product's fact row with its labels by score and its entities by type and value, as arrays of structs; no row for an unknown slug."""
+    label = F.struct((-F.col("score")).alias("s"), "label", "score", "method")
     labels = mart.product_labels.where(F.col("slug") == slug).groupBy("slug").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "label"))), lambda x: x["label"]), "|").alias("labels")
+        F.transform(F.array_sort(F.collect_list(label)), lambda x: F.struct(x["label"].alias("label"), x["score"].alias("score"), x["method"].alias("method"))).alias("labels")
     )
-    entities = mart.product_entities.where(F.col("slug") == slug).groupBy("slug").agg(
-        F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "entity_type", "canonical_value"))), "|").alias("entities")
-    )
-    fact = mart.product_facts.where(F.col("slug") == slug).select("slug", "name", "website_host", "launch_count", "trusted_label_count", "entity_count")
+    entity = F.struct("entity_type", "canonical_value", "source_span", "score", "support_products", "method")
+    entities = mart.product_entities.where(F.col("slug") == slug).groupBy("slug").agg(F.array_sort(F.collect_list(entity)).alias("entities"))
+    fact = mart.product_facts.where(F.col("slug") == slug).select(*DETAIL_COLUMNS)
     return fact.join(labels, "slug", "left").join(entities, "slug", "left")
 
 
+def health(mart: Mart) -> DataFrame:
+    """How many products the mart serves."""
+    return mart.product_facts.agg(F.count(F.lit(1)).alias("products"))
+
+
+def composed(mart: Mart) -> DataFrame:
+    """The whole dashboard as rows (section, place, item): the metrics and every list's rows as JSON, in order."""
+    parts = [mart.core_metrics.select(F.lit("metrics").alias("section"), F.lit(1).alias("place"), F.to_json(F.struct("*")).alias("item"))]
+    for name in (x for x in LISTS if x.startswith("dashboard_")):
+        rows = ordered_list(mart, name)
+        order = LISTS[name][1].split(", ")
+        place = F.row_number().over(Window.orderBy(*(F.expr(o[:-5]).desc() if o.endswith(" DESC") else F.expr(o).asc() for o in order)))  # a list is short
+        parts.append(rows.select(F.lit(name[10:]).alias("section"), place.alias("place"), F.to_json(F.struct("*")).alias("item")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def valid_slug(slug: str) -> bool:
     return bool(slug) and "/" not in slug and len(slug) <= 240
 
@@ -93,7 +125,7 @@ LISTS = {
     "adhoc_top_categories": ("category_stats", "products DESC, category", 50, ""),
     "adhoc_entity_pairs": ("entity_cooccurrence", "products DESC, entity_type_a, canonical_value_a, entity_type_b, canonical_value_b", 50, "entity_type_a <> entity_type_b"),
     "adhoc_entity_movement": ("entity_relative_trends", "coverage_normalized_growth_index DESC, entity_type, canonical_value", 50, "coverage_normalized_growth_index IS NOT NULL"),
-    "adhoc_relaunching_categories": ("category_stats", "relaunch_rate DESC, category", 50, "products >= 20"),
+    "adhoc_relaunching_categories": ("category_stats", "relaunch_rate DESC, category", 50, "products >= 500"),
     "adhoc_products_per_host": ("domain_stats", "products DESC, website_host", 100, "products > 1"),
 }
 

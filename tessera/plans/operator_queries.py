@@ -227,9 +227,9 @@ accepted AS (
   SELECT slug, entity_type, CASE entity_type
       WHEN 'operating_system' THEN os WHEN 'file_format' THEN {_map('form', V.FILE_CANONICAL)} WHEN 'technology_or_tool' THEN tech WHEN 'industry' THEN ind
       WHEN 'audience_role' THEN array_to_string(list_concat(words[:-2], [{_map('words[-1]', V.ROLE_SINGULARS)}]), ' ') WHEN 'hardware' THEN {_map('v', V.HARDWARE_ALIASES)} ELSE v END AS canonical_value,
-    entity_text AS source_span, score, support_products
+    entity_text AS source_span, score, support_products, label
   FROM typed WHERE entity_type IS NOT NULL),
-filtered AS (SELECT * FROM accepted QUALIFY row_number() OVER (PARTITION BY slug, entity_type, canonical_value ORDER BY score DESC, source_span) = 1)"""
+filtered AS (SELECT * EXCLUDE (label) FROM accepted QUALIFY row_number() OVER (PARTITION BY slug, entity_type, canonical_value ORDER BY score DESC, source_span, support_products DESC, label) = 1)"""
 _HOST_SQL = r"lower(nullif(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:www\.)?([^/:?#]+)', 1), ''))"
 _STATUS = "([200, 301, 403, 404, 410, 429, 500, 503])[CAST(event_id % 8 + 1 AS INTEGER)]"
 _KEY = "slug || '|' || entity_type || '|' || canonical_value"

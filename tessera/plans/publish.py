@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import json
 import uuid
 
@@ -27,26 +28,37 @@ def publish(mart: Mart, spark: SparkSession, root: str) -> str:
     folder = f"{root}/{name}"
     fs, path = _hadoop(spark, folder)
     try:
+        mart = copy.copy(mart)
         for table in TABLES:
             rows = getattr(mart, table)
             if key := _CLUSTER.get(table):
                 rows = rows.repartitionByRange(key).sortWithinPartitions(key)
             rows.write.option("compression", "zstd").parquet(f"{folder}/{table}")
+            vars(mart)[table] = spark.read.parquet(f"{folder}/{table}")  # later tables and the summary read what is written
         summary(mart, spark, folder).write.text(f"{folder}/_summary")
-        spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(f"{root}/_pointer-{name}")
-        _, pointer = _hadoop(spark, f"{root}/_CURRENT")
-        _, new = _hadoop(spark, f"{root}/_pointer-{name}")
-        if fs.exists(pointer):
-            fs.delete(pointer, True)
-        fs.rename(new, pointer)
+        _point(spark, root, name)
     except Exception:
         fs.delete(path, True)
         raise
     return folder
 
 
+def _point(spark: SparkSession, root: str, name: str) -> None:
+    """Put a new pointer in the old one's place by one rename, so that readers always find one of them."""
+    fs, new = _hadoop(spark, f"{root}/next-{name}")
+    _, pointer = _hadoop(spark, f"{root}/CURRENT")
+    out = fs.create(new)
+    out.write(bytearray(name.encode()))
+    out.close()
+    java = spark.sparkContext._jvm
+    over = java.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(over, 1)
+    how[0] = over.OVERWRITE
+    java.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(new, pointer, how)
+
+
 def current(spark: SparkSession, root: str) -> str:
-    return f"{root}/{spark.read.text(f'{root}/_CURRENT').first()['value']}"
+    return f"{root}/{spark.read.text(f'{root}/CURRENT').first()['value']}"
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
