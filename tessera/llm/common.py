@@ -13,10 +13,16 @@ from pyspark.sql import functions as F
 
 def bounded_batches(spark: SparkSession) -> None:
     """Texts go to Python in batches of at most 1,000 rows and about 16 MB, so that tasks stay small."""
+    without_old_shuffles(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
+def without_old_shuffles(spark: SparkSession) -> None:
+    """Spark deletes a query's shuffle files when it ends; else they stay until the driver happens to collect garbage."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -48,6 +54,7 @@ def staged(df: DataFrame, name: str, numbers: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    without_old_shuffles(spark)
     kind = {"parquet.enable.dictionary": "false", "parquet.writer.version": "PARQUET_2_0"} if numbers else {}
     df.write.options(**kind).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
