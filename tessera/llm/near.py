@@ -6,11 +6,14 @@ the other may miss, and every candidate is verified on both whole texts:
 - SimHash fingerprints of the sets within four bits, by `simhash.links` and its Golay keys. At a similarity of 0.8
   two fingerprints differ in some ten bits, so this side alone finds the nearest pairs only.
 - `BANDS` keys of `ROWS` minimum hashes each: at a similarity of 0.8 all keys differ once in 2,500 pairs. A key's
-  sets are put in a random order, other for every key, and each is compared with the `NEXT` before it: few sets are
-  all compared, and many near copies of one text still meet some 160 others each, never all.
+  sets are put in a random order, other for every key, and each is compared with the `NEXT` before it, so that many
+  near copies of one text become one component without all their pairs.
+- What that leaves: a key whose sets lie in several components. There every set outside the key's largest component
+  is compared with all of the key's sets in other components, by signatures of one byte for each minimum hash, in
+  cells of a grid; where `AGREE` of the 100 bytes agree (sets that are 0.8 similar miss that once in 10,000 times) the
+  whole texts are compared. So no set of a key is left out, however common the key.
 
-Sorting is by range of (key, order), so that common keys are split; where a task's range ends, one key's sets
-aren't compared across it.
+Sorting is by range of (key, order), and cells are small, so that common keys are split.
 
 Defined results: words are lower-cased in A-Z only; null and empty texts link to each other; rows without an id
 stay; equal rows stay once; unlike texts that share an id are told apart; a text of any length is read as a whole
@@ -31,6 +34,8 @@ from tessera.llm.components import components
 from tessera.llm.substring import _mixed, _run_hashes, _word_hashes, word_spans
 
 SHINGLE, BANDS, ROWS, NEXT = 5, 20, 5, 4
+#: Bytes of two signatures that agree, at least, where the whole texts are compared; sets of a cell's two sides.
+AGREE, LEFT, RIGHT = 64, 512, 8192
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -77,7 +82,7 @@ def _rows(documents: DataFrame) -> DataFrame:
 
 
 def _sketches(documents: DataFrame) -> DataFrame:
-    """(id, text_hash, digest, fp, keys) of every row with an id."""
+    """(id, text_hash, digest, fp, keys, signature) of every row with an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -91,10 +96,10 @@ def _sketches(documents: DataFrame) -> DataFrame:
             band = _mixed((least * weight).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)[None, :]).view(np.int64)
             keys = [b if len(h) else b[:0] for b, h in zip(band, sets, strict=True)]
             digests = [xxhash.xxh128_digest(h.tobytes()) for h in sets]
-            columns = (batch.column("id"), batch.column("text_hash"), pa.array(digests, pa.binary()), pa.array([_fingerprint(h) for h in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(list(columns), ["id", "text_hash", "digest", "fp", "keys"])
+            columns = (batch.column("id"), batch.column("text_hash"), pa.array(digests, pa.binary()), pa.array([_fingerprint(h) for h in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array([m.tobytes() for m in least.reshape(len(sets), -1).astype(np.uint8)], pa.binary()))
+            yield pa.RecordBatch.from_arrays(list(columns), ["id", "text_hash", "digest", "fp", "keys", "signature"])
 
-    return _rows(documents).mapInArrow(run, "id long, text_hash long, digest binary, fp long, keys array<long>")
+    return _rows(documents).mapInArrow(run, "id long, text_hash long, digest binary, fp long, keys array<long>, signature binary")
 
 
 def _name(node: str) -> F.Column:
@@ -132,6 +137,48 @@ def _by_fingerprints(sets: DataFrame) -> DataFrame:
     return same.union(near.select(F.col("na").alias("a"), F.col("nb").alias("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
+def _across_components(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of names that share a key, not a component, and whose signatures agree as similar sets' do."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, left = None, []
+        for batch in batches:
+            cells, side, names, parts = (batch.column(c).to_numpy() for c in ("cell", "side", "name", "part"))
+            marks = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(len(cells), BANDS * ROWS)
+            turn = np.flatnonzero((cells[1:] != cells[:-1]) | (side[1:] != side[:-1])) + 1
+            found = [np.zeros((2, 0), np.int64)]
+            for i, j in zip([0, *turn.tolist()], [*turn.tolist(), len(cells)], strict=True):
+                if i == j:
+                    continue
+                if cells[i] != cell:
+                    cell, left = cells[i], []
+                if side[i] == 0:
+                    left.append((names[i:j], parts[i:j], marks[i:j].copy()))
+                    continue
+                for some, of, theirs in left:
+                    for at in range(i, j, 64):
+                        end = min(at + 64, j)
+                        near = (marks[at:end, None, :] == theirs[None, :, :]).sum(axis=2) >= AGREE
+                        x, y = np.nonzero(near & (parts[at:end, None] != of[None, :]))
+                        found.append(np.stack([np.minimum(names[at + x], some[y]), np.maximum(names[at + x], some[y])]))
+            both = np.concatenate(found, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+
+    known = roots.select(_name("node").alias("n"), _name("root").alias("root"))
+    parts = sets.join(known, F.col("name") == F.col("n"), "left").select("name", "signature", "keys", F.coalesce("root", "name").alias("part"))
+    parts = common.staged(parts, "parts")
+    sizes = parts.select("part", F.explode("keys").alias("key")).groupBy("key", "part").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "part")).alias("main")).where("n > main.n")
+    grid = sizes.select(F.col("key").alias("k"), F.col("main.part").alias("main"), F.ceil((F.col("n") - F.col("main.n")) / LEFT).alias("lefts"), F.ceil(F.col("n") / RIGHT).alias("rights"))
+    rows = parts.select("name", "part", "signature", F.explode("keys").alias("key")).join(common.staged(grid, "grid"), F.col("key") == F.col("k"))
+    of_left, of_right = F.pmod(F.xxhash64("name", "key"), "lefts"), F.pmod(F.xxhash64("key", "name"), "rights")
+    as_left = F.transform(F.sequence(F.lit(0).cast("long"), F.col("rights") - 1), lambda r: F.struct(F.xxhash64("key", of_left, r).alias("cell"), F.lit(0).alias("side")))
+    as_right = F.transform(F.sequence(F.lit(0).cast("long"), F.col("lefts") - 1), lambda x: F.struct(F.xxhash64("key", x, of_right).alias("cell"), F.lit(1).alias("side")))
+    rows = rows.select("name", "part", "signature", F.explode(F.when(F.col("part") != F.col("main"), F.concat(as_left, as_right)).otherwise(as_right)).alias("at"))
+    rows = rows.select("at.cell", "at.side", "name", "part", "signature").repartition("cell").sortWithinPartitions("cell", "side")
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of nodes whose whole texts are similar."""
 
@@ -162,18 +209,24 @@ def _verified(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame
 def one_of_each(documents: DataFrame, similarity: float = 0.8) -> DataFrame:
     """Of each component the row with the smallest id (and of that, text); rows without an id stay."""
     rows, sketches = _rows(documents), common.staged(_sketches(documents), "sketches")
-    sets = sketches.groupBy("digest").agg(F.min(F.struct("id", "text_hash")).alias("node"), F.first("fp").alias("fp"), F.first("keys").alias("keys"))
+    sets = sketches.groupBy("digest").agg(F.min(F.struct("id", "text_hash")).alias("node"), F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("signature").alias("signature"))
     sets = common.staged(sets.withColumn("name", _name("node")), "sets")
     some = sets.where(F.size("keys") > 0)
     pairs = common.staged(_by_minima(some).union(_by_fingerprints(some.select("fp", "name"))).distinct(), "candidates")
     links = common.staged(_verified(pairs, rows, similarity), "near_links")
-    least = components(links, "a", "b").where("node <> root").select("node")
+    roots = common.staged(components(links, "a", "b"), "roots")
+    more = common.staged(_across_components(some, roots).join(pairs, ["a", "b"], "left_anti"), "more")
+    if not more.isEmpty():
+        others = common.staged(_verified(more, rows, similarity), "more_links")
+        if not others.isEmpty():
+            roots = common.staged(components(links.union(others), "a", "b"), "roots")
+    least = roots.where("node <> root").select("node")
     owner = sketches.select("id", "text_hash", "digest").join(sets.select(F.col("digest").alias("d"), "node"), F.col("digest") == F.col("d"))
     gone = least.union(owner.select(F.struct("id", "text_hash").alias("own"), "node").where("own <> node").select("own").distinct())
     gone = common.staged(gone.select(F.col("node.id").alias("_id"), F.col("node.text_hash").alias("_text")), "gone")
     again = sketches.groupBy("id", "text_hash").count().where("count > 1").select(F.col("id").alias("_id"), F.col("text_hash").alias("_text"))
     again = common.staged(again, "again")
-    for table in (sketches, sets, pairs, links):
+    for table in (sketches, sets, pairs, links, more):
         common.drop_staged(table)
     names, here = documents.columns, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
     known = documents.where("doc_id is not null").withColumn("_hash", here)

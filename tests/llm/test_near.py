@@ -3,7 +3,10 @@
 import itertools
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from tessera.llm import near
 
 
 def runs(text):
@@ -45,3 +48,52 @@ def test_unlike_texts_of_one_id_are_told_apart(spark, sf_dir):
     rows = [(1, text("a")), (2, text("a")), (2, text("b")), (2, text("b")), (3, text("b").upper()), (4, text("c")), (4, text("c") + " d e")]
     got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir).collect()
     assert sorted((r["doc_id"], r["text"][0]) for r in got) == [(1, "a"), (2, "b"), (4, "c")]
+
+
+def test_similar_pairs_among_many_half_similar_texts(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(near, "NEXT", 1)  # so that most is left to the grid, of small cells
+    monkeypatch.setattr(near, "LEFT", 4)
+    monkeypatch.setattr(near, "RIGHT", 16)
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(300)]
+
+    def changed(words, n):
+        words = words[:]
+        for at in rnd.sample(range(len(words)), n):
+            words[at] = f"x{rnd.randrange(10**6)}"
+        return words
+
+    rows = []
+    for _ in range(400):
+        text = changed(base, 6)
+        rows.append(text)
+        if rnd.random() < 0.3:
+            rows.append(changed(text, 3))
+    rnd.shuffle(rows)
+    rows = [(i, " ".join(t)) for i, t in enumerate(rows)]
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(kept(rows))
+
+
+def test_grid_finds_every_similar_pair_of_a_key(spark, monkeypatch):
+    monkeypatch.setattr(near, "LEFT", 4)
+    monkeypatch.setattr(near, "RIGHT", 16)
+    rnd = random.Random(9)
+    texts = []
+    for i in range(60):
+        words = [f"w{j}" for j in range(200)]
+        for at in rnd.sample(range(200), 1 + i % 5):
+            words[at] = f"x{i}"
+        texts.append((i, " ".join(words)))
+    sets = near._sketches(spark.createDataFrame(texts, "doc_id long, text string")).withColumn("node", F.struct("id", "text_hash"))
+    sets = sets.withColumn("name", near._name("node"))
+    rows = sets.select("id", "name", "keys").collect()
+    none = sets.select("node", F.col("node").alias("root")).limit(0)
+    got = {(r["a"], r["b"]) for r in near._across_components(sets, none).collect()}
+    shingles = {i: runs(t) for i, t in texts}
+    want = set()
+    for r, s in itertools.combinations(rows, 2):
+        one, two = shingles[r["id"]], shingles[s["id"]]
+        if set(r["keys"]) & set(s["keys"]) and len(one & two) >= 0.8 * len(one | two):
+            want.add((min(r["name"], s["name"]), max(r["name"], s["name"])))
+    assert len(want) > 300 and want <= got
