@@ -90,3 +90,22 @@ def audit_rates(reviewed: DataFrame, group: str) -> DataFrame:
     n = F.count(F.lit(1))
     share = lambda c: F.round(F.try_divide(F.count_if(F.col(c)), n), 9)
     return reviewed.groupBy(F.col(group).alias("value")).agg(n.alias("items"), share("type_correct").alias("precision"), share("relevant").alias("relevance")).select(F.lit(group).alias("grouping"), "*")
+
+
+def prompt_text(tagline: Column, description: Column) -> Column:
+    """The copy of a product as lines with their names; empty parts are left out."""
+    line = lambda name, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(f"{name}: "), c))
+    return F.concat_ws("\n", line("Tagline", tagline), line("Description", description))
+
+
+def audit_context(entities: DataFrame, products: DataFrame) -> DataFrame:
+    """Entities beside the name and copy of their products; those of unknown products go."""
+    return entities.join(products.select("slug", "name", "tagline", "description"), "slug")
+
+
+def filter_report(mentions: DataFrame, entities: DataFrame, version: str) -> DataFrame:
+    """One row: mentions before the rules, assignments and products after them."""
+    before = mentions.agg(F.count(F.lit(1)).alias("raw_candidates"), F.lit(0).cast("long").alias("retained_assignments"), F.lit(0).cast("long").alias("retained_products"))
+    after = entities.agg(F.lit(0).cast("long").alias("raw_candidates"), F.count(F.lit(1)).alias("retained_assignments"), F.count_distinct("slug").alias("retained_products"))
+    both = before.unionByName(after)
+    return both.agg(*(F.sum(c).alias(c) for c in both.columns)).withColumn("precision_filter_version", F.lit(version))
