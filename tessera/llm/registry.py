@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tessera.llm import bitsliced, language, licences, mixing, packing, quality, rules, simhash, substring, token_files, whitening
+from tessera.llm import bitsliced, divergence, language, licences, mixing, packing, quality, rules, secrets, simhash, substring, token_files, whitening
 
-MODULES = (token_files, bitsliced, mixing, simhash, substring, quality, rules, packing, licences, language, whitening)
+MODULES = (token_files, bitsliced, mixing, simhash, substring, quality, rules, packing, licences, language, whitening, divergence, secrets)
 
 
 def queries() -> dict[str, Callable]:
