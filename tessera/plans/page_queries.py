@@ -1,2 +1,275 @@
-QUERIES = {}
-SQL = {}
+"""Page states over the driver's tables, with SQL for each.
+
+Orders are categories and collections, their line items the products on a page (so a page is short, as pages are), and customers are scans and
+searches. Products repeat within a page, across pages and across scans, and their slug changes with the place where they are found.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tessera.plans import pages as P
+from tessera.sources.binding import read
+
+
+def _now() -> Column:
+    return F.lit(9).cast("long")
+
+
+def _seen(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"first_seen_at": F.lit(1).cast("long"), "last_seen_at": F.lit(1).cast("long")})
+
+
+def _named(prefix: str, key: str) -> Column:
+    return F.concat(F.lit(prefix), F.col(key).cast("string"))
+
+
+def _common(spark: SparkSession, d: str) -> P.State:
+    part = read(spark, d, "part")
+    return {
+        "source_products": _seen(part.where("p_size < 25").select(F.col("p_partkey").alias("product_id"), _named("s", "p_partkey").alias("slug"))),
+        "products": part.where("p_partkey % 3 = 0").select(_named("s", "p_partkey").alias("slug"), F.col("p_name").alias("name"), F.lit(None).cast("string").alias("tagline")),
+        "aliases": part.where("p_partkey % 10 = 1").select(_named("s", "p_partkey").alias("alias_slug"), F.lit("s3").alias("canonical_slug")),
+    }
+
+
+def _records(spark: SparkSession, d: str) -> DataFrame:
+    """(order, records): the line items of every order in their order; every thirteenth has no id."""
+    slug = F.concat(F.lit("s"), F.col("l_partkey").cast("string"), F.when(F.col("l_linenumber") % 2 == 0, "x").otherwise(""))
+    item = F.struct("l_linenumber", F.when(F.col("l_partkey") % 13 > 0, F.col("l_partkey")).alias("product_id"), slug.alias("slug"))
+    rows = read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.array_sort(F.collect_list(item)).alias("r"))
+    return rows.select("k", F.transform("r", lambda x: F.struct(x["product_id"].alias("product_id"), x["slug"].alias("slug"))).alias("records"))
+
+
+def _categories(spark: SparkSession, d: str) -> tuple[P.State, int]:
+    o = read(spark, d, "orders")
+    k = F.col("o_orderkey")
+    old = _named("c", "o_orderkey").alias("category_slug")
+    scans = o.where(k % 4 > 0).select(old, (k % 90).cast("int").alias("total_count"), (k % 5).cast("int").alias("pages_count"), (1 + k % 2).cast("int").alias("next_page"), (k % 2).alias("pages_scanned"))
+    # prepared twice each, with other numbers
+    batch = o.select(old, (k % 70).cast("int").alias("total_count"), (k % 4).cast("int").alias("pages_count"), F.lit(1).alias("ordinal"))
+    batch = batch.unionByName(o.select(old, (k % 60).cast("int").alias("total_count"), (k % 3).cast("int").alias("pages_count"), F.lit(2).alias("ordinal")))
+    items = read(spark, d, "lineitem").where("l_linenumber = 1 AND l_orderkey % 5 = 0")
+    before = items.select(_named("c", "l_orderkey").alias("category_slug"), F.col("l_partkey").alias("product_id"), F.lit("old").alias("slug"), (F.col("l_partkey") % 2 == 0).alias("new_product_id"))
+    state = _common(spark, d) | {"category_scans": P.prepared("category_scans", scans, batch), "category_candidates": _seen(before.dropDuplicates(["category_slug", "product_id"]))}
+    pages = _records(spark, d).where("k % 3 > 0").select(_named("c", "k").alias("category_slug"), F.when(F.col("k") % 4 > 0, 1 + F.col("k") % 2).otherwise(1).cast("int").alias("page"), "records", F.col("k").alias("ordinal"))
+    return P.apply_categories(state, pages, _now())
+
+
+def pages_category_candidates(spark: SparkSession, d: str) -> DataFrame:
+    return _categories(spark, d)[0]["category_candidates"]
+
+
+def pages_category_scans(spark: SparkSession, d: str) -> DataFrame:
+    return _categories(spark, d)[0]["category_scans"]
+
+
+def pages_category_sources(spark: SparkSession, d: str) -> DataFrame:
+    return _categories(spark, d)[0]["source_products"]
+
+
+def pages_category_products(spark: SparkSession, d: str) -> DataFrame:
+    return _categories(spark, d)[0]["products"].select("slug", "name")
+
+
+def pages_category_pending(spark: SparkSession, d: str) -> DataFrame:
+    return P.pending_pages(_categories(spark, d)[0]["category_scans"], 500)
+
+
+def pages_category_report(spark: SparkSession, d: str) -> DataFrame:
+    return P.category_report(_categories(spark, d)[0])
+
+
+def _collections(spark: SparkSession, d: str) -> tuple[P.State, int]:
+    c = read(spark, d, "customer")
+    scans = c.select(_named("u", "c_custkey").alias("scan_name"), F.lit(100).alias("total_count"), F.lit(7).alias("pages_count"), (F.col("c_custkey") % 3).cast("int").alias("next_page"), *(F.lit(1).cast("long").alias(n) for n in ("pages_scanned", "collections_seen", "memberships_seen", "reported_memberships")))
+    part = read(spark, d, "part")
+    known = part.where("p_partkey % 4 = 0").select(F.col("p_partkey").alias("product_id"), F.lit("old").alias("slug"), (F.col("p_partkey") % 8 == 0).alias("new_product_id"))
+    over = read(spark, d, "orders").where("o_orderkey % 300 > 250").select(F.col("o_orderkey").alias("collection_id"), F.lit(270).alias("products_count"), F.lit(200).alias("next_offset"), F.lit(1).cast("long").alias("pages_scanned"))
+    state = _common(spark, d) | {"collection_scans": scans, "collection_candidates": _seen(known), "collection_overflow": over}
+    return P.apply_collections(state, _collection_pages(spark, d), _now())
+
+
+def _collection_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Four pages of each scan from where it stands: an order is a collection alone on its page; every eleventh page is empty."""
+    place = (F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1).cast("int")
+    o = read(spark, d, "orders").select("o_custkey", "o_orderkey", place.alias("page")).where("page >= o_custkey % 3 AND page < o_custkey % 3 + 4")
+    rows = o.join(_records(spark, d), F.col("o_orderkey") == F.col("k"), "left")
+    one = F.array(F.struct(F.col("o_orderkey").alias("collection_id"), (F.col("o_orderkey") % 300).cast("int").alias("products_count"), "records"))
+    return rows.select(_named("u", "o_custkey").alias("scan_name"), "page", F.when(F.col("o_orderkey") % 11 > 0, one).alias("collections"), F.lit(1).alias("ordinal"))
+
+
+def pages_collection_candidates(spark: SparkSession, d: str) -> DataFrame:
+    return _collections(spark, d)[0]["collection_candidates"]
+
+
+def pages_collection_scans(spark: SparkSession, d: str) -> DataFrame:
+    return _collections(spark, d)[0]["collection_scans"]
+
+
+def pages_collection_pending(spark: SparkSession, d: str) -> DataFrame:
+    return P.pending_run(_collections(spark, d)[0]["collection_scans"], 2)
+
+
+def pages_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Runs of consecutive order keys of every customer, a page in ten missing."""
+    rows = read(spark, d, "orders").where("o_orderkey % 10 > 0").select(_named("u", "o_custkey").alias("scan_name"), F.floor(F.col("o_orderkey") / 200).alias("page"))
+    return P.page_runs(rows, "scan_name")
+
+
+def _overflow(spark: SparkSession, d: str) -> P.State:
+    state, _ = _collections(spark, d)
+    due = state["collection_overflow"].where("next_offset < products_count AND collection_id % 2 = 0")
+    rows = due.join(_records(spark, d), F.col("collection_id") == F.col("k"))
+    return P.apply_overflow(state, rows.select("collection_id", F.col("next_offset").alias("offset"), "records", F.lit(1).alias("ordinal")), _now(), "u1")[0]
+
+
+def pages_overflow(spark: SparkSession, d: str) -> DataFrame:
+    return _overflow(spark, d)["collection_overflow"]
+
+
+def pages_overflow_pending(spark: SparkSession, d: str) -> DataFrame:
+    return P.pending_overflow(_overflow(spark, d)["collection_overflow"], 300)
+
+
+def pages_collection_report(spark: SparkSession, d: str) -> DataFrame:
+    return P.collection_report(_overflow(spark, d))
+
+
+def _searches(spark: SparkSession, d: str) -> tuple[P.State, int]:
+    c = read(spark, d, "customer")
+    k = F.col("c_custkey")
+    old = _named("q", "c_custkey").alias("query")
+    scans = c.select(old, F.lit(3).alias("pages_count"), (1 + k % 2).cast("int").alias("next_page"), F.lit(1).cast("long").alias("requests"), (k % 2).alias("pages_scanned"))
+    steps = c.where(k % 3 > 0).select(old, (1 + k % 2).cast("int").alias("expected_page"), (2 + k % 3).cast("int").alias("next_page"), (1 + k % 2).alias("pages_scanned"))
+    part = read(spark, d, "part").where("p_partkey % 4 = 0")
+    known = part.select(F.col("p_partkey").alias("product_id"), F.lit("old").alias("slug"), F.lit("old name").alias("name"), F.lit(None).cast("string").alias("tagline"), (F.col("p_partkey") % 8 == 0).alias("new_product_id"))
+    state = _common(spark, d) | {"search_scans": scans, "search_candidates": _seen(known)}
+    records = read(spark, d, "lineitem").where("l_linenumber = 2").select(
+        F.when(F.col("l_partkey") % 13 > 0, F.col("l_partkey")).alias("product_id"), _named("s", "l_partkey").alias("slug"), F.when(F.col("l_returnflag") == "A", _named("n", "l_orderkey")).alias("name"),
+        F.when(F.col("l_linestatus") == "F", _named("t", "l_orderkey")).alias("tagline"), F.col("l_orderkey").alias("ordinal"),
+    )
+    return P.apply_searches(state, steps, records, _now())
+
+
+def pages_search_candidates(spark: SparkSession, d: str) -> DataFrame:
+    return _searches(spark, d)[0]["search_candidates"]
+
+
+def pages_search_products(spark: SparkSession, d: str) -> DataFrame:
+    return _searches(spark, d)[0]["products"]
+
+
+def pages_search_scans(spark: SparkSession, d: str) -> DataFrame:
+    return _searches(spark, d)[0]["search_scans"]
+
+
+def pages_search_report(spark: SparkSession, d: str) -> DataFrame:
+    return P.search_report(_searches(spark, d)[0])
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        pages_category_candidates, pages_category_scans, pages_category_sources, pages_category_products, pages_category_pending, pages_category_report, pages_collection_candidates, pages_collection_scans,
+        pages_collection_pending, pages_runs, pages_overflow, pages_overflow_pending, pages_collection_report, pages_search_candidates, pages_search_products, pages_search_scans, pages_search_report,
+    )
+}
+
+_CATEGORIES = """
+r AS (
+  SELECT l_orderkey AS o, 'c' || l_orderkey AS c, l_partkey AS id, 's' || l_partkey || CASE WHEN l_linenumber % 2 = 0 THEN 'x' ELSE '' END AS slug, l_linenumber AS n FROM lineitem WHERE l_partkey % 13 > 0 AND l_orderkey % 3 > 0),
+old AS (SELECT DISTINCT 'c' || l_orderkey AS c, l_partkey AS id FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 5 = 0),
+s AS (SELECT p_partkey AS id FROM part WHERE p_size < 25),
+m AS (SELECT c, id, max_by(slug, (o, n)) AS slug FROM r GROUP BY c, id),
+t AS (
+  SELECT coalesce(m.c, old.c) AS category_slug, coalesce(m.id, old.id) AS product_id, coalesce(m.slug, 'old') AS slug, (old.c IS NOT NULL AND old.id % 2 = 0) OR (m.c IS NOT NULL AND m.id NOT IN (SELECT id FROM s)) AS new_product_id,
+    CAST(CASE WHEN old.c IS NULL THEN 9 ELSE 1 END AS BIGINT) AS first_seen_at, CAST(CASE WHEN m.c IS NULL THEN 1 ELSE 9 END AS BIGINT) AS last_seen_at
+  FROM m FULL JOIN old ON m.c = old.c AND m.id = old.id),
+paged AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_orderkey % 3 > 0),
+g AS (
+  SELECT 'c' || o_orderkey AS category_slug, CAST(o_orderkey % 60 AS INTEGER) AS total_count, CAST(greatest(o_orderkey % 4, o_orderkey % 3, CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey % 5 END) AS INTEGER) AS pages_count,
+    CAST(CASE WHEN o_orderkey % 4 > 0 THEN 1 + o_orderkey % 2 ELSE 1 END + CASE WHEN k IS NULL THEN 0 ELSE 1 END AS INTEGER) AS next_page,
+    CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey % 2 ELSE 0 END + CASE WHEN k IS NULL THEN 0 ELSE 1 END AS pages_scanned
+  FROM orders LEFT JOIN paged ON k = o_orderkey)"""
+_COLLECTIONS = """
+pg AS (SELECT o_custkey AS u, o_orderkey AS k, page FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS page FROM orders) WHERE page >= o_custkey % 3 AND page < o_custkey % 3 + 4),
+full_ AS (SELECT * FROM pg WHERE k % 11 > 0),
+it AS (SELECT 'u' || u AS scan, page, l_partkey AS id, 's' || l_partkey || CASE WHEN l_linenumber % 2 = 0 THEN 'x' ELSE '' END AS slug, l_linenumber AS n FROM full_ JOIN lineitem ON l_orderkey = k WHERE l_partkey % 13 > 0),
+s AS (SELECT p_partkey AS id FROM part WHERE p_size < 25),
+kept AS (SELECT p_partkey AS id FROM part WHERE p_partkey % 4 = 0),
+cand AS (
+  SELECT id AS product_id, 'old' AS slug, id % 8 = 0 AS new_product_id, CAST(1 AS BIGINT) AS first_seen_at, CAST(1 AS BIGINT) AS last_seen_at FROM kept
+  UNION ALL SELECT id, max_by(slug, (scan, page, n)), id NOT IN (SELECT id FROM s), 9, 9 FROM it WHERE id NOT IN (SELECT id FROM kept) GROUP BY id),
+items AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1),
+sc AS (
+  SELECT u, count(*) AS pages, count(*) FILTER (k % 11 > 0) AS collections, sum(CASE WHEN k % 11 > 0 THEN coalesce(n, 0) ELSE 0 END) AS members, sum(CASE WHEN k % 11 > 0 THEN k % 300 ELSE 0 END) AS reported
+  FROM pg LEFT JOIN items USING (k) GROUP BY u),
+cs AS (
+  SELECT 'u' || c_custkey AS scan_name, 100 AS total_count, 7 AS pages_count, CAST(c_custkey % 3 + coalesce(pages, 0) AS INTEGER) AS next_page, 1 + coalesce(pages, 0) AS pages_scanned, 1 + coalesce(collections, 0) AS collections_seen,
+    CAST(1 + coalesce(members, 0) AS BIGINT) AS memberships_seen, CAST(1 + coalesce(reported, 0) AS BIGINT) AS reported_memberships
+  FROM customer LEFT JOIN sc ON u = c_custkey),
+ov AS (
+  SELECT coalesce(a.k, b.k) AS collection_id, CAST(greatest(a.c, b.c) AS INTEGER) AS products_count, CASE WHEN a.k IS NULL THEN 100 ELSE 200 END AS next_offset, CASE WHEN a.k IS NULL THEN 0 ELSE 1 END AS pages_scanned
+  FROM (SELECT o_orderkey AS k, 270 AS c FROM orders WHERE o_orderkey % 300 > 250) a FULL JOIN (SELECT k, k % 300 AS c FROM full_ WHERE k % 300 > 100) b ON a.k = b.k),
+after_ AS (
+  SELECT collection_id, products_count, CASE WHEN hit THEN least(products_count, next_offset + 100) ELSE next_offset END AS next_offset, CAST(pages_scanned + CASE WHEN hit THEN 1 ELSE 0 END AS BIGINT) AS pages_scanned, hit
+  FROM (SELECT *, next_offset < products_count AND collection_id % 2 = 0 AND collection_id IN (SELECT k FROM items) AS hit FROM ov))"""
+_SEARCHES = """
+r AS (SELECT l_partkey AS id, 's' || l_partkey AS slug, CASE WHEN l_returnflag = 'A' THEN 'n' || l_orderkey END AS name, CASE WHEN l_linestatus = 'F' THEN 't' || l_orderkey END AS tagline, l_orderkey AS o FROM lineitem WHERE l_linenumber = 2 AND l_partkey % 13 > 0),
+f AS (SELECT id, any_value(slug) AS slug, max_by(name, o) FILTER (name IS NOT NULL) AS name, max_by(tagline, o) FILTER (tagline IS NOT NULL) AS tagline, id NOT IN (SELECT p_partkey FROM part WHERE p_size < 25) AS fresh FROM r GROUP BY id),
+k AS (SELECT p_partkey AS id FROM part WHERE p_partkey % 4 = 0),
+c AS (
+  SELECT coalesce(f.id, k.id) AS product_id, coalesce(f.slug, 'old') AS slug, coalesce(f.name, CASE WHEN k.id IS NOT NULL THEN 'old name' END) AS name, f.tagline, CASE WHEN k.id IS NOT NULL THEN k.id % 8 = 0 ELSE fresh END AS new_product_id,
+    CAST(CASE WHEN k.id IS NULL THEN 9 ELSE 1 END AS BIGINT) AS first_seen_at, CAST(CASE WHEN f.id IS NULL THEN 1 ELSE 9 END AS BIGINT) AS last_seen_at
+  FROM f FULL JOIN k ON f.id = k.id),
+q AS (
+  SELECT 'q' || c_custkey AS query, 3 AS pages_count, CAST(CASE WHEN c_custkey % 3 > 0 THEN 2 + c_custkey % 3 ELSE 1 + c_custkey % 2 END AS INTEGER) AS next_page, CAST(CASE WHEN c_custkey % 3 > 0 THEN 2 ELSE 1 END AS BIGINT) AS requests,
+    c_custkey % 2 + CASE WHEN c_custkey % 3 > 0 THEN 1 + c_custkey % 2 ELSE 0 END AS pages_scanned FROM customer)"""
+_OLD_PRODUCTS = "SELECT 's' || p_partkey AS slug, p_name AS name FROM part WHERE p_partkey % 3 = 0"
+_NOT_KNOWN = "slug NOT IN (SELECT 's' || p_partkey FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 10 = 1)"
+
+
+def _named_numbers(table: str, numbers: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS name, CAST({n} AS BIGINT) AS n FROM {table}" for name, n in numbers.items())
+
+
+SQL = {
+    "pages_category_candidates": f"WITH {_CATEGORIES} SELECT * FROM t",
+    "pages_category_scans": f"WITH {_CATEGORIES} SELECT * FROM g",
+    "pages_category_sources": f"""
+WITH {_CATEGORIES}, l AS (SELECT id, max_by(slug, (o, n)) AS slug FROM r GROUP BY id)
+SELECT coalesce(l.id, s.id) AS product_id, coalesce(slug, 's' || s.id) AS slug, CAST(CASE WHEN s.id IS NULL THEN 9 ELSE 1 END AS BIGINT) AS first_seen_at, CAST(CASE WHEN l.id IS NULL THEN 1 ELSE 9 END AS BIGINT) AS last_seen_at FROM l FULL JOIN s ON l.id = s.id""",
+    "pages_category_products": f"""
+WITH {_CATEGORIES}, l AS (SELECT id, max_by(slug, (o, n)) AS slug FROM r GROUP BY id)
+{_OLD_PRODUCTS} UNION ALL SELECT slug, NULL FROM l WHERE {_NOT_KNOWN}""",
+    "pages_category_pending": f"WITH {_CATEGORIES} SELECT category_slug, next_page FROM g WHERE next_page <= pages_count ORDER BY next_page, category_slug LIMIT 500",
+    "pages_category_report": f"""
+WITH {_CATEGORIES} {_named_numbers('t', {'memberships': 'count(*)', 'unique_candidates': 'count(DISTINCT product_id)', 'new_product_ids': 'count(DISTINCT product_id) FILTER (new_product_id)'})}
+UNION ALL {_named_numbers('g', {'categories': 'count(*)', 'categories_complete': 'count(*) FILTER (next_page > pages_count)', 'pages_scanned': 'coalesce(sum(pages_scanned), 0)', 'reported_memberships': 'coalesce(sum(total_count), 0)'})}""",
+    "pages_collection_candidates": f"WITH {_COLLECTIONS} SELECT * FROM cand",
+    "pages_collection_scans": f"WITH {_COLLECTIONS} SELECT * FROM cs",
+    "pages_collection_pending": f"WITH {_COLLECTIONS} SELECT scan_name, CAST(unnest(range(next_page, least(7, next_page + 2))) AS INTEGER) AS page FROM cs WHERE next_page < 7",
+    "pages_runs": """
+WITH p AS (SELECT DISTINCT 'u' || o_custkey AS scan_name, o_orderkey // 200 AS page FROM orders WHERE o_orderkey % 10 > 0),
+b AS (SELECT *, coalesce(page - lag(page) OVER w > 1, true) AS starts FROM p WINDOW w AS (PARTITION BY scan_name ORDER BY page)),
+i AS (SELECT *, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY scan_name ORDER BY page) AS island FROM b)
+SELECT scan_name, min(page) AS first, max(page) AS last, count(*) AS pages FROM i GROUP BY scan_name, island""",
+    "pages_overflow": f"WITH {_COLLECTIONS} SELECT collection_id, products_count, next_offset, pages_scanned FROM after_",
+    "pages_overflow_pending": f"WITH {_COLLECTIONS} SELECT collection_id, next_offset, products_count FROM after_ WHERE next_offset < products_count ORDER BY next_offset, collection_id LIMIT 300",
+    "pages_collection_report": f"""
+WITH {_COLLECTIONS},
+more AS (SELECT l_partkey AS id FROM after_ JOIN lineitem ON l_orderkey = collection_id WHERE hit AND l_partkey % 13 > 0),
+every AS (SELECT product_id, new_product_id FROM cand UNION ALL SELECT DISTINCT id, id NOT IN (SELECT id FROM s) AND id NOT IN (SELECT id FROM it) FROM more WHERE id NOT IN (SELECT product_id FROM cand)),
+extra AS (SELECT sum(n) AS n FROM after_ JOIN items ON k = collection_id WHERE hit)
+{_named_numbers('every', {'unique_candidates': 'count(*)', 'new_product_ids': 'count(*) FILTER (new_product_id)'})}
+UNION ALL {_named_numbers('cs', {'collections_reported': 'sum(total_count)', 'root_pages_scanned': 'sum(pages_scanned)', 'collections_scanned': 'sum(collections_seen)', 'memberships_seen': 'sum(memberships_seen) + (SELECT coalesce(n, 0) FROM extra)', 'reported_memberships': 'sum(reported_memberships)', 'scans_complete': 'count(*) FILTER (next_page >= pages_count)'})}
+UNION ALL {_named_numbers('after_', {'overflow_collections': 'count(*)', 'overflow_complete': 'count(*) FILTER (next_offset >= products_count)', 'overflow_pages_scanned': 'sum(pages_scanned)'})}""",
+    "pages_search_candidates": f"WITH {_SEARCHES} SELECT * FROM c",
+    "pages_search_products": f"WITH {_SEARCHES} SELECT slug, name, NULL AS tagline FROM ({_OLD_PRODUCTS}) UNION ALL SELECT slug, name, tagline FROM f WHERE fresh AND {_NOT_KNOWN}",
+    "pages_search_scans": f"WITH {_SEARCHES} SELECT * FROM q",
+    "pages_search_report": f"""
+WITH {_SEARCHES} {_named_numbers('c', {'unique_candidates': 'count(*)', 'new_product_ids': 'count(*) FILTER (new_product_id)'})}
+UNION ALL {_named_numbers('q', {'queries': 'count(*)', 'queries_complete': 'count(*) FILTER (next_page > pages_count)', 'pages_scanned': 'sum(pages_scanned)'})}""",
+}

@@ -12,10 +12,9 @@ from tessera.plans.catalogue import COPY
 
 
 def capture_time(digits: Column) -> Column:
-    """The time of a capture's stamp of 14 digits, or of fewer with the rest at its least; null if it is no such stamp."""
-    whole = F.rpad(digits, 14, "00000101000000")
-    whole = F.when(F.length(digits) < 8, F.concat(F.substr(digits, F.lit(1), F.lit(4)), F.when(F.length(digits) >= 6, F.substr(digits, F.lit(5), F.lit(2))).otherwise("01"), F.lit("01000000"))).otherwise(whole)
-    return F.when(digits.rlike("^[0-9]{4,14}$"), F.try_to_timestamp(whole, F.lit("yyyyMMddHHmmss")))
+    """The time of a capture's stamp: 14 digits, or fewer by twos down to the year, the rest at its least; null if it is no such stamp."""
+    whole = F.concat(digits, F.substr(F.lit("YYYY0101000000"), F.length(digits) + 1))
+    return F.when(digits.rlike("^[0-9]{4}([0-9]{2}){0,5}$"), F.try_to_timestamp(whole, F.lit("yyyyMMddHHmmss")))
 
 
 def nearest_captures(targets: DataFrame, captures: DataFrame, wanted: Column) -> DataFrame:
