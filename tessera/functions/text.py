@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -102,12 +104,28 @@ def without_prefix(text: Column, name: Column) -> Column:
 
 
 def clean_entity(text: Column) -> Column:
-    """Lower case, with runs of white space, _, /, . and - made one blank."""
-    return F.trim(F.regexp_replace(F.lower(F.trim(text)), r"[\s_/.-]+", " "))
+    """Case folded, with runs of white space, _, /, . and - made one blank."""
+    return F.trim(F.regexp_replace(folded(F.trim(text)), r"[\s_/.-]+", " "))
+
+
+@functools.cache
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """What full case folding changes beyond lower case, by Unicode's own rule: one character for one, and longer texts for one."""
+    every = {c: c.casefold() for c in map(chr, (*range(0xD800), *range(0xE000, 0x110000))) if c.lower() != c.casefold()}
+    return {c: f for c, f in every.items() if len(f) == 1}, {c: f for c, f in every.items() if len(f) > 1}
+
+
+def folded(text: Column) -> Column:
+    """Unicode's full case folding: lower case, and ß as ss, a long or final s as any other."""
+    one, many = _folds()
+    plain = F.translate(F.lower(text), "".join(one), "".join(one.values()))
+    longer = F.create_map(*(F.lit(x) for pair in many.items() for x in pair))
+    whole = F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(longer, c), c)), "")
+    return F.when(plain.rlike(f"[{''.join(many)}]"), whole).otherwise(plain)
 
 
 def compact_name(text: Column) -> Column:
-    return F.regexp_replace(F.lower(text), r"[^a-z0-9]", "")
+    return F.regexp_replace(folded(text), r"[^a-z0-9]", "")
 
 
 def is_self_name(entity: Column, product: Column) -> Column:

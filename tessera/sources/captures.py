@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import product_slug
+from tessera.sources.sections import section_objects
 
 _CDX = "url string, timestamp string, status string, filename string, `offset` string, length string, mime string"
 #: Path heads of current and retired launch pages. Fixed values.
@@ -123,11 +124,8 @@ def last_per_slug(rows: DataFrame, slug: Column) -> DataFrame:
 
 
 def sectioned_json(spark: SparkSession, path: str, section: str, following: str, schema: str) -> DataFrame:
-    """Objects, one a line, between the lines that open a section and the next one of a dump."""
-    files = spark.read.text(path, wholetext=True)
-    body = F.regexp_extract("value", rf'(?s)"{section}": \[(.*?)(?:"{following}": \[|\z)', 1)
-    lines = files.select(F.explode(F.split(body, "\n")).alias("line")).where(F.trim("line").startswith("{"))
-    return lines.select(F.from_json(F.regexp_replace(F.trim("line"), ",$", ""), schema).alias("r")).select("r.*")
+    """Objects, one a line, between the lines that open a section and the next one of a dump; many tasks read one file."""
+    return section_objects(spark, path, section, following, schema).select("r.*")
 
 
 def http_body(record: bytes) -> bytes | None:

@@ -80,3 +80,35 @@ def reachable(entries: DataFrame, roots: list[str], most: int = 10_000) -> DataF
         found = links.where(F.col("map").isin(*new)).select("loc").distinct().limit(most + 1).collect()
         new = {r["loc"] for r in found} - seen
     return entries.where((F.col("kind") == "page") & F.col("map").isin(*seen))
+
+
+#: The letters and digits that a listing is split by where it can't be had whole.
+PREFIXES = "abcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def prefix_listing(pages: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(addresses, report) of a listing that was read prefix by prefix.
+
+    pages: prefix, page from 0, url (null for a malformed line); counts: prefix, pages as the service reported them. The report has a row for each of PREFIXES: pages
+    reported and read, lines, malformed lines and distinct addresses, and `problem`: not asked, pages missing, pages too many, or addresses of another prefix.
+    Addresses come once each, from prefixes without a problem only, so that a partial listing isn't taken for a whole one.
+    """
+    spark = pages.sparkSession
+    every = spark.createDataFrame([(p,) for p in PREFIXES], "prefix string")
+    last = F.lower(F.regexp_extract("url", r"^[^?#]*/([^/?#]*)", 1))
+    read = pages.groupBy("prefix").agg(
+        F.count_distinct("page").alias("pages_read"), F.max("page").alias("_last"), F.count(F.lit(1)).alias("lines"), F.count_if(F.col("url").isNull()).alias("malformed"), F.count_distinct("url").alias("addresses"),
+        F.count_if(F.coalesce(~F.startswith(last, F.col("prefix")), F.lit(False))).alias("_foreign"),
+    )
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    reported = counts.groupBy("prefix").agg(F.max("pages").cast("long").alias("pages"))
+    rows = every.join(reported, "prefix", "left").join(read, "prefix", "left")
+    problem = (
+        F.when(F.col("pages").isNull(), "not asked")
+        .when(F.coalesce("pages_read", F.lit(0)) < F.col("pages"), "pages missing")
+        .when(F.coalesce(F.col("_last") >= F.col("pages"), F.lit(False)), "pages too many")
+        .when(F.coalesce("_foreign", F.lit(0)) > 0, "addresses of another prefix")
+    )
+    report = rows.select("prefix", "pages", *(zero(c) for c in ("pages_read", "lines", "malformed", "addresses")), problem.alias("problem"))
+    good = report.where("problem IS NULL").select("prefix")
+    return pages.where("url IS NOT NULL").join(F.broadcast(good), "prefix", "left_semi").select("url").distinct(), report
