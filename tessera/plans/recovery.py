@@ -86,8 +86,12 @@ def apply_post_recoveries(products: DataFrame, aliases: DataFrame, resolutions:
 def capture_outcomes(captures: DataFrame, changes: DataFrame, keys: tuple[str, ...] = ("slug", "crawl_id")) -> DataFrame:
     """Captures with the outcome, attempt, http_status and error of the changes (keys, outcome, attempt, http_status, error).
 
-    An outcome other than CAPTURE_OUTCOMES is an error; changes of unknown captures do nothing.
+    An outcome other than CAPTURE_OUTCOMES is an error; changes of unknown captures do nothing. Of changes of one capture the last by `ordinal` counts, where
+    the batch has one, else the one with the most attempts.
     """
+    order = F.struct("ordinal") if "ordinal" in changes.columns else F.struct("attempt", "outcome")
+    names = [c for c in changes.columns if c not in keys]
+    changes = changes.groupBy(*keys).agg(F.max_by(F.struct(*names), order).alias("_r")).select(*keys, "_r.*")
     wrong = F.raise_error(F.concat(F.lit("no outcome of a capture: "), F.coalesce("outcome", F.lit("null")))).cast("string")
     checked = F.when(F.col("outcome").isin(*CAPTURE_OUTCOMES), F.col("outcome")).otherwise(wrong)
     new = changes.select(*keys, checked.alias("_outcome"), F.col("attempt").alias("_attempts"), F.col("http_status").alias("_http_status"), F.col("error").alias("_last_error"), F.lit(True).alias("_hit"))
@@ -149,11 +153,15 @@ def archive_scan(candidates: DataFrame, products: DataFrame, aliases: DataFrame,
 
 
 def resumed(scans: DataFrame, batch: DataFrame) -> DataFrame:
-    """Scans by resume key after one page each (path_kind, captures, next_resume_key): without a next key they are complete."""
-    new = batch.select("path_kind", F.col("captures").alias("_captures"), F.col("next_resume_key").alias("_next"), F.lit(True).alias("_hit"))
-    both = scans.join(new, "path_kind", "left")
+    """Scans by resume key after pages (path_kind, captures, next_resume_key): without a next key they are complete.
+
+    Pages of one scan count in the order of `ordinal`, which a batch with several of them has.
+    """
+    order = F.col("ordinal") if "ordinal" in batch.columns else F.lit(0)
+    sums = batch.groupBy("path_kind").agg(F.max_by(F.struct("next_resume_key"), order).alias("_r"), F.sum("captures").alias("_captures"), F.count(F.lit(1)).alias("_pages"), F.lit(True).alias("_hit"))
+    both = scans.join(sums.withColumn("_next", F.col("_r.next_resume_key")), "path_kind", "left")
     put = lambda c, x: F.when(F.col("_hit"), x).otherwise(F.col(c)).alias(c)
-    return both.select("path_kind", put("resume_key", F.col("_next")), put("requests", F.col("requests") + 1), put("captures", F.col("captures") + F.col("_captures")), put("complete", F.col("_next").isNull()))
+    return both.select("path_kind", put("resume_key", F.col("_next")), put("requests", F.col("requests") + F.col("_pages")), put("captures", F.col("captures") + F.col("_captures")), put("complete", F.col("_next").isNull()))
 
 
 def product_resolutions(products: DataFrame, aliases: DataFrame, source_ids: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -173,16 +181,20 @@ def product_resolutions(products: DataFrame, aliases: DataFrame, source_ids: Dat
 def completed(products: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(products, one row with the number of newly fetched ones) after records (slug, copy fields, categories, content_hash).
 
-    Records that are complete fill known products; set values win, categories only where there are some.
+    Records that are complete fill known products; set values win, categories only where there are some. A slug that comes more than once is folded, the last
+    by `ordinal` first, or by content hash where the batch has none. The retry time and the error of a filled product go.
     """
     whole = F.col("name").isNotNull() & F.col("description").isNotNull() & (F.col("tagline").isNotNull() | F.col("website_url").isNotNull())
-    some = records.where(whole).join(products.select("slug"), "slug", "left_semi")
     names = (*COPY, "categories", "content_hash")
+    order = "ordinal" if "ordinal" in records.columns else "content_hash"
+    filled = records.where(whole).withColumn("categories", F.when(F.size("categories") > 0, F.col("categories")))
+    some = fold(filled, "slug", dict.fromkeys((*COPY, "categories"), "last_set") | ({"content_hash": "last"} if order == "ordinal" else {"content_hash": "max"}), order)
     both = products.join(some.select("slug", *(F.col(c).alias(f"_{c}") for c in names), F.lit(True).alias("_hit")), "slug", "left")
     hit = F.coalesce("_hit", F.lit(False))
     changes = {c: F.coalesce(f"_{c}", c) for c in COPY}
     changes["categories"] = F.when(F.coalesce(F.size("_categories"), F.lit(0)) > 0, F.col("_categories")).otherwise(F.col("categories"))
     changes |= {"content_hash": F.when(hit, F.col("_content_hash")).otherwise(F.col("content_hash")), "status": F.when(hit, "fetched").otherwise(F.col("status")), "http_status": F.when(hit, 200).otherwise(F.col("http_status"))}
+    changes |= {c: F.when(~hit, F.col(c)) for c in ("next_retry_at", "last_error") if c in products.columns}
     fresh = both.agg(F.count_if(hit & (F.col("status") != "fetched")).alias("newly_fetched"))
     return both.withColumns(changes).select(*products.columns), fresh
 
