@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept; what it returns is written
 as Parquet and read again as the next one's docs. All but the last return the columns of `documents`.
+
+Defined results of the chain: a null or empty text fails the quality rules and goes; of rows that are equal in id and text one stays, of rows that share an id
+with unlike texts each; rows without an id are kept by near_dedup and substring_dedup as they are, and pack like any other; a source that is null is a source of
+its own; an empty table gives an empty table at every stage; further columns, whatever they are called, keep their values up to the last stage, which has its own columns.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeat, or go, by their source's target weight, in a global random order."""
-    return mixing.mix(docs).select(*docs.columns)
+    return common.beside_others(docs, mixing.mix)
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -95,6 +95,17 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return batches[0] if len(batches) == 1 else pa.concat_batches(batches)
 
 
+#: The columns of `documents`, which operators know by name.
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def beside_others(documents: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What `work` makes of documents whose further columns go by names that no operator uses meanwhile; it keeps all columns, and they get their names back."""
+    names = documents.columns
+    plain = [c if c in DOCUMENT else f"further_{i}" for i, c in enumerate(names)]
+    return work(documents.toDF(*plain)).select(*plain).toDF(*names)
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the rows that no model learns from: crc32(doc_id as text) mod 5 is 0."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0

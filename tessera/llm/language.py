@@ -37,13 +37,16 @@ _RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 def sample_texts(documents: DataFrame, rows: int = 64, row_chars: int = 20_000) -> dict[str, list[str]]:
     """About `rows` whole labelled texts per language that may be learnt from, chosen by a hash of id and text.
 
-    Rows of more than `row_chars` characters are not learnt from; equal rows count once.
+    Rows of more than `row_chars` characters are learnt from only where a language has no other: then its shortest text is. Equal rows count once.
     """
     usable = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "lang").where("text is not null and lang is not null")
-    usable = usable.where(~common.held_out(F.col("doc_id"))).where(F.length("text") <= row_chars)
-    counts = usable.groupBy("lang").count().select(F.col("lang").alias("l"), "count")
+    usable = usable.where(~common.held_out(F.col("doc_id")))
     draw = F.pmod(F.xxhash64(F.lit("language"), "doc_id", "text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    some = usable.withColumn("draw", draw).join(F.broadcast(counts), F.col("lang") == F.col("l")).where(F.col("draw") * F.col("count") < 1.5 * rows)
+    usable = usable.withColumns({"draw": draw, "size": F.length("text")})
+    counts = usable.groupBy(F.col("lang").alias("l")).agg(F.count_if(F.col("size") <= row_chars).alias("count"), F.min(F.struct("size", "draw")).alias("least"))
+    short = (F.col("size") <= row_chars) & (F.col("draw") * F.col("count") < 1.5 * rows)
+    alone = (F.col("count") == 0) & (F.col("size") == F.col("least.size")) & (F.col("draw") == F.col("least.draw"))
+    some = usable.join(F.broadcast(counts), F.col("lang") == F.col("l")).where(short | alone)
     texts: dict[str, list] = {}
     for r in some.select("lang", "draw", "text").distinct().collect():
         texts.setdefault(r["lang"], []).append((r["draw"], r["text"]))

@@ -207,7 +207,11 @@ def _verified(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame
 
 
 def one_of_each(documents: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """Of each component the row with the smallest id (and of that, text); rows without an id stay."""
+    """Of each component the row with the smallest id (and of that, text); rows without an id stay. Further columns stay as they are, however they are called."""
+    return common.beside_others(documents, lambda rows: _one_of_each(rows, similarity))
+
+
+def _one_of_each(documents: DataFrame, similarity: float) -> DataFrame:
     rows, sketches = _rows(documents), common.staged(_sketches(documents), "sketches")
     sets = sketches.groupBy("digest").agg(F.min(F.struct("id", "text_hash")).alias("node"), F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("signature").alias("signature"))
     sets = common.staged(sets.withColumn("name", _name("node")), "sets")

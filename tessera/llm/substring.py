@@ -512,8 +512,12 @@ def _joined_passages(found: list[tuple[int, ...]], doc: int, text: int, min_word
 def remove_passages(documents: DataFrame, found: DataFrame) -> DataFrame:
     """The documents without their repeated passages, whose source keeps them; texts with nothing left go.
 
-    The column n_chars, where there is one, is set anew for texts that were cut.
+    The column n_chars, where there is one, is set anew for texts that were cut; further columns stay as they are, however they are called.
     """
+    return common.beside_others(documents, lambda rows: _without_passages(rows, found))
+
+
+def _without_passages(documents: DataFrame, found: DataFrame) -> DataFrame:
     spans = found.select("doc_id", "text_hash", "passage_start", "passage_words").distinct().groupBy(F.col("doc_id").alias("_cut_id"), F.col("text_hash").alias("_cut_text"))
     spans = spans.agg(F.collect_list(F.struct("passage_start", "passage_words")).alias("_cuts"))
     spans = common.staged(spans, "cuts")  # the search for passages ends, and its shuffles go, before the documents are shuffled
