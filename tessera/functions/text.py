@@ -86,6 +86,13 @@ def product_slug(url: Column, host: str, kind: str = "products", most: int = 300
     return F.when(~asset & ~decoded.rlike(r"\s") & (decoded != "...") & (F.length(decoded) <= most), decoded)
 
 
+def final_slug(url: Column, fallback: Column, kind: str = "products") -> Column:
+    """The slug that a page's last address names: its path is /kind/slug and nothing more, else the fallback."""
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    parts = F.filter(F.split(path, "/"), lambda p: p != "")
+    return F.when((F.size(parts) == 2) & (F.get(parts, F.lit(0)) == kind), F.lower(F.get(parts, F.lit(1)))).otherwise(fallback)
+
+
 def safe_json_int(text: Column, path: str) -> Column:
     """A number in a JSON text; null if the text is no JSON or holds none there."""
     return F.get_json_object(text, path).try_cast("long")

@@ -78,14 +78,46 @@ def health(mart: Mart) -> DataFrame:
     return mart.product_facts.agg(F.count(F.lit(1)).alias("products"))
 
 
+#: What each list of the dashboard shows.
+PANELS = {
+    "labels": ("label", "products", "catalogue_share", "average_score", "average_launches", "relaunch_rate"),
+    "categories": ("category", "products", "catalogue_share", "average_launches", "relaunch_rate"),
+    "entity_types": ("entity_type", "assignments", "products", "distinct_values", "average_score"),
+    "entities": ("entity_type", "canonical_value", "products", "average_score"),
+    "domains": ("website_host", "products", "catalogue_share", "mapped_launches"),
+    "cohorts": ("relative_cohort", "products", "labeled_products", "entity_products", "average_launches", "relaunch_rate", "category_coverage", "trusted_label_coverage"),
+    "label_trends": ("label", "early_products", "recent_products", "early_labeled_share", "recent_labeled_share", "labeled_share_change", "coverage_normalized_growth_index"),
+    "entity_risers": ("entity_type", "canonical_value", "all_products", "early_entity_product_share", "recent_entity_product_share", "share_change", "coverage_normalized_growth_index"),
+    "entity_fallers": ("entity_type", "canonical_value", "all_products", "early_entity_product_share", "recent_entity_product_share", "share_change", "coverage_normalized_growth_index"),
+    "label_pairs": ("label_a", "label_b", "products"),
+}
+
+
+def metrics(mart: Mart) -> DataFrame:
+    """The dashboard's twelve numbers, in one row."""
+    f = mart.product_facts
+    counts = f.agg(
+        F.count(F.lit(1)).alias("products"), F.count_if("has_external_website").alias("external_websites"), F.count_if("has_source_categories").alias("categorized_products"),
+        F.sum("source_category_count").alias("category_assignments"), F.count_if("has_trusted_label").alias("labeled_products"), F.sum("trusted_label_count").alias("label_assignments"),
+        F.count_if("has_entity").alias("entity_products"), F.sum("entity_count").alias("entity_assignments"), F.count_if("has_launch_mapping").alias("launched_products"),
+        F.sum("launch_count").alias("launch_relationships"), F.count_if(F.col("launch_count") > 1).alias("relaunched_products"),
+    )
+    return counts.crossJoin(F.broadcast(mart.domain_stats.agg(F.count(F.lit(1)).alias("distinct_domains"))))  # one row each
+
+
+def panel(mart: Mart, name: str) -> DataFrame:
+    """One list of the dashboard with the columns that it shows, in its order."""
+    return ordered_list(mart, f"dashboard_{name}").select(*PANELS[name])
+
+
 def composed(mart: Mart) -> DataFrame:
     """The whole dashboard as rows (section, place, item): the metrics and every list's rows as JSON, in order."""
-    parts = [mart.core_metrics.select(F.lit("metrics").alias("section"), F.lit(1).alias("place"), F.to_json(F.struct("*")).alias("item"))]
+    parts = [metrics(mart).select(F.lit("metrics").alias("section"), F.lit(1).alias("place"), F.to_json(F.struct("*")).alias("item"))]
     for name in (x for x in LISTS if x.startswith("dashboard_")):
         rows = ordered_list(mart, name)
         order = LISTS[name][1].split(", ")
         place = F.row_number().over(Window.orderBy(*(F.expr(o[:-5]).desc() if o.endswith(" DESC") else F.expr(o).asc() for o in order)))  # a list is short
-        parts.append(rows.select(F.lit(name[10:]).alias("section"), place.alias("place"), F.to_json(F.struct("*")).alias("item")))
+        parts.append(rows.select(F.lit(name[10:]).alias("section"), place.alias("place"), F.to_json(F.struct(*PANELS[name[10:]])).alias("item")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

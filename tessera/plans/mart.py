@@ -211,7 +211,7 @@ class Mart:
         for name, n, d in (("ec", "n_early", "early_products"), ("rc", "n_recent", "recent_products"), ("el", "n_early", "early_labeled_products"), ("rl", "n_recent", "recent_labeled_products")):
             t = t.withColumn(name, ieee_div(F.col(n), F.col(d)))
         return t.select(
-            "label", F.col("n_early").alias("early_count"), F.col("n_recent").alias("recent_count"),
+            "label", F.col("n_early").alias("early_products"), F.col("n_recent").alias("recent_products"),
             _r(F.col("ec")).alias("early_catalogue_share"), _r(F.col("rc")).alias("recent_catalogue_share"), _r(F.col("rc") - F.col("ec")).alias("catalogue_share_change"),
             _r(F.col("el")).alias("early_labeled_share"), _r(F.col("rl")).alias("recent_labeled_share"), _r(F.col("rl") - F.col("el")).alias("labeled_share_change"),
             self._growth("el", "rl").alias("coverage_normalized_growth_index"),

@@ -3,6 +3,7 @@ markdown reports. All give slug, the copy fields, categories, product_url and an
 
 from __future__ import annotations
 
+import html
 import io
 import zipfile
 from collections.abc import Iterator
@@ -86,10 +87,15 @@ def _members(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def unescaped(text: Column) -> Column:
-    """The common character entities and line breaks of markdown cells as characters."""
-    for entity, char in (("<br>", "\n"), ("<br/>", "\n"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return stripped(text)
+    """Markdown cells as text: every character entity as its character, line breaks as new lines, no blanks around; texts without an entity stay inside the engine."""
+
+    @F.pandas_udf("string")
+    def entities(some: pd.Series) -> pd.Series:
+        return some.map(html.unescape, na_action="ignore")
+
+    # by a conditional a UDF would see every row, so it gets nulls where there is nothing to do
+    whole = F.when(F.contains(text, F.lit("&")), text)
+    return stripped(F.regexp_replace(F.coalesce(entities(whole), text), r"(?i)<br\s*/?>", "\n"))
 
 
 def markdown(spark: SparkSession, path: str, host: str) -> DataFrame:
