@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from tessera.sources.scratch import written
 
 
+# The text of a lookup, whose length bounds a batch.
+HEAD = "query ProductSlugBatch"
+FIELD = "{id slug name tagline description websiteUrl categories{name} meta{description}}"
+
+
 def numbered(rows: DataFrame, order: str, out: str = "position") -> DataFrame:
     """Rows with their position, from 0, in the order of a column of different values, without one task for all.
 
@@ -27,7 +32,7 @@ def json_bytes(text: Column) -> Column:
     return F.octet_length(F.to_json(F.struct(text.alias("s")))) - 6
 
 
-def slug_batches(rows: DataFrame, slug: str, most: int = 100, limit: int = 24_000, field: str = "{id slug name tagline description websiteUrl categories{name} meta{description}}", head: str = "query ProductSlugBatch") -> DataFrame:
+def slug_batches(rows: DataFrame, slug: str, most: int = 100, limit: int = 24_000, field: str = FIELD, head: str = HEAD) -> DataFrame:
     """(slug, batch, part, place): every slug in one request of at most `limit` bytes.
 
     Slugs in order fall into batches of `most`; a batch whose request would be larger is halved, the smaller half first, and its halves again. Null and repeated
@@ -49,7 +54,7 @@ def slug_batches(rows: DataFrame, slug: str, most: int = 100, limit: int = 24_00
     return placed.select("slug", "batch", "part", "place", "size")
 
 
-def requests(batches: DataFrame, head: str = "query ProductSlugBatch", field: str = "{id slug name tagline description websiteUrl categories{name} meta{description}}") -> DataFrame:
+def requests(batches: DataFrame, head: str = HEAD, field: str = FIELD) -> DataFrame:
     """(batch, part, slugs, text): the request of every part; a part has a bounded number of slugs and bytes."""
     one = F.concat(F.lit("p"), F.col("place").cast("string"), F.lit(":product(slug:"), F.substring(F.to_json(F.struct(F.col("slug").alias("s"))), 6, 1 << 30))
     one = F.concat(F.regexp_replace(one, r"\}$", ")"), F.lit(field))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import folded
-from tessera.operators.batches import slug_batches
+from tessera.operators.batches import FIELD, HEAD, slug_batches
 from tessera.operators.samples import failure_samples
 from tessera.plans.events import EventLog, durations
 from tessera.plans.shards import MENTION_ROWS, Shards, mentions
@@ -108,7 +108,7 @@ QUERIES = {f.__name__: f for f in (dump_section, lookup_batches, sharded_mention
 
 
 def _halved(levels: int, limit: int) -> str:
-    head, field = len("query ProductSlugBatch") + 2, len("{id slug name tagline description websiteUrl categories{name} meta{description}}")
+    head, field = len(HEAD) + 2, len(FIELD)
     size = f"sum(bytes + length(CAST(place AS VARCHAR))) OVER w + count(*) OVER w - 1 + {head}"
     steps = [f"""
 k AS (
