@@ -66,8 +66,8 @@ def sums(fit: DataFrame, dims: int) -> tuple[int, list[int], list[tuple[int, int
 def cross_products(rows: DataFrame, dims: int) -> np.ndarray:
     """The symmetric matrix of sums of products over the array column y: one aggregation with a generated sum for every pair of dimensions.
 
-    The upper triangle is cut into tiles of TILE x TILE pairs, which are its groups: 2,080 sums in one row are
-    beyond what Spark compiles (they ran 20 times as long), 64 aren't.
+    The upper triangle is cut into tiles of TILE x TILE pairs, which are its groups: 2,080 sums in one row took 7 times as long as
+    36 groups of 64 (16.2 and 2.3 s for 51,282 vectors on local[8]).
     """
     blocks = -(-dims // TILE)
     tiles = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(blocks) for j in range(i, blocks)))
