@@ -1,6 +1,7 @@
 """Relational operators on small frames."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,5 +30,14 @@ def test_best_per_key_and_pairs(spark):
     assert [tuple(r) for r in pair_counts(best, "slug", ["label"]).collect()] == [("x", "y", 2)]
 
 
+def test_ntile_where_quantiles_differ_between_evaluations(spark, monkeypatch):
+    """As on a cluster, where the digests of tasks are merged in the order of their arrival."""
+    exact, shift = F.percentile_approx, F.udf(lambda cuts: [c + random.randrange(40) for c in cuts], "array<bigint>").asNondeterministic()
+    rows = spark.range(2000).selectExpr("concat('p', id) AS slug", "id * 3 AS k").repartition(4)
+    want = {f"p{i}": i // 100 + 1 for i in range(2000)}
+    monkeypatch.setattr(F, "percentile_approx", lambda *args: shift(exact(*args)))
+    assert {r["slug"]: r["t"] for r in ntile(rows, 20, "k", "slug", "t", buckets=16).collect()} == want
+
+
 def test_ntile_of_no_rows(spark):
     assert ntile(spark.createDataFrame([], "slug string, k long"), 20, "k", "slug", "t").count() == 0
