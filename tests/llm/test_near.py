@@ -97,3 +97,28 @@ def test_grid_finds_every_similar_pair_of_a_key(spark, monkeypatch):
         if set(r["keys"]) & set(s["keys"]) and len(one & two) >= 0.8 * len(one | two):
             want.add((min(r["name"], s["name"]), max(r["name"], s["name"])))
     assert len(want) > 300 and want <= got
+
+
+def test_texts_of_a_cell_are_joined_once_and_not_for_every_pair(spark, monkeypatch):
+    monkeypatch.setattr(near, "LEFT", 32)
+    rnd = random.Random(10)
+    texts = []
+    for i in range(120):  # 0.7 similar to one another, but for the pairs of the last ten
+        words = [f"w{j}" for j in range(300)]
+        for at in rnd.sample(range(300), 5):
+            words[at] = f"x{i}"
+        texts.append(" ".join(words))
+    texts = list(enumerate(texts + [t + " y" for t in texts[:10]]))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    sets = near._sketches(docs).withColumn("node", F.struct("id", "text_hash"))
+    sets = sets.withColumn("name", near._name("node"))
+    none = sets.select("node", F.col("node").alias("root")).limit(0)
+    moved = []
+    slices = near.common.staged
+    monkeypatch.setattr(near.common, "staged", lambda df, name, *more: moved.append((name, out := slices(df, name, *more))) or out)
+    links = {(r["a"]["id"], r["b"]["id"]) for r in near._links_across(sets, none, near._rows(docs), 0.8).collect()}
+    assert {(min(p), max(p)) for p in links} >= {(i, 120 + i) for i in range(10)}
+    shingles = {i: runs(t) for i, t in texts}
+    assert all(len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]) for a, b in links)
+    pairs = near._across_components(sets, none).count()
+    assert dict(moved)["hits"].select("of").distinct().count() <= len(texts) < pairs / 5
