@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions.text import clean_entity, compact_name, folded
+from tessera.functions.text import _folds, clean_entity, compact_name, folded
 from tessera.operators.batches import numbered, requests, slug_batches
 from tessera.operators.samples import failure_samples
 from tessera.plans import work_queries
@@ -202,3 +202,11 @@ def test_folding_equals_unicode(spark):
     assert not wrong and got[-1] is None
     row = spark.createDataFrame([("Große_Ärzte-ſoftware",)], "t string").select(clean_entity(F.col("t")).alias("c"), compact_name(F.col("t")).alias("k")).first()
     assert tuple(row) == ("grosse ärzte software", "grosserztesoftware")
+
+
+def test_folding_looks_up_what_changes_and_not_every_character(spark):
+    texts = ["", None, "plain\ntext", "ẞ" * 3, "aß\nͅς𐐀Ꭰꭰﬁﬄ", "".join(map(chr, (*range(0x20, 0x600), *range(0x1E00, 0x2000), *range(0xFB00, 0xFB18)))).replace("Σ", "σ")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(1)
+    assert [r["f"] for r in rows.select("i", folded(F.col("t")).alias("f")).orderBy("i").collect()] == [t and t.casefold() for t in texts]
+    pieces = rows.where("i = 2").select(F.regexp_extract_all("t", F.lit(_folds()[1]), F.lit(0)).alias("p")).first()["p"]
+    assert pieces == ["plain\ntext"]
