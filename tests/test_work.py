@@ -210,3 +210,12 @@ def test_folding_looks_up_what_changes_and_not_every_character(spark):
     assert [r["f"] for r in rows.select("i", folded(F.col("t")).alias("f")).orderBy("i").collect()] == [t and t.casefold() for t in texts]
     pieces = rows.where("i = 2").select(F.regexp_extract_all("t", F.lit(_folds()[1]), F.lit(0)).alias("p")).first()["p"]
     assert pieces == ["plain\ntext"]
+
+
+def test_a_large_table_has_more_dumps(spark, sf_dir, monkeypatch):
+    whole = sorted(map(tuple, work_queries.dump_section(spark, sf_dir).collect()))
+    monkeypatch.setattr(work_queries, "DUMP", 200)
+    wide = work_queries.dump_section(spark, sf_dir)
+    assert sorted(map(tuple, wide.collect())) == whole
+    kinds = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderstatus", "o_orderkey DIV 200").distinct().count()
+    assert len(wide.inputFiles()) > 3 and len({f for f in wide.inputFiles() if "o_orderstatus=" in f}) == kinds
