@@ -219,3 +219,15 @@ def test_a_large_table_has_more_dumps(spark, sf_dir, monkeypatch):
     assert sorted(map(tuple, wide.collect())) == whole
     kinds = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderstatus", "o_orderkey DIV 200").distinct().count()
     assert len(wide.inputFiles()) > 3 and len({f for f in wide.inputFiles() if "o_orderstatus=" in f}) == kinds
+
+
+def test_a_large_shard_is_written_by_several_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        rows = spark.range(20000).selectExpr("CAST(id AS STRING) AS k", "sha2(CAST(id AS STRING), 512) AS t").repartition(8)
+        shards = Shards(spark, str(tmp_path / "s"), {"a": 1}, 2)
+        assert shards.run(rows, "k", lambda some: some) == {"written": 2, "skipped": 0}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert all(len(list((tmp_path / "s" / "parts" / f"shard={n}").glob("*.parquet"))) > 1 for n in (0, 1))
+    assert sorted(r["k"] for r in shards.read("k string, t string").collect()) == sorted(map(str, range(20000)))
