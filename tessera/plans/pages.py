@@ -6,6 +6,9 @@ published here: `Store.publish` puts the new tables in place together, so that c
 A batch names the position that it was read from. If any page isn't its scan's next one, or a run of pages has a gap, the whole batch is
 refused, so a replay changes nothing. Rows of a batch carry `ordinal`; where a product comes more than once the last one's values count.
 
+A batch's pages, and the products found in it, are written to the job's own folder once; what is checked, counted and merged is read from there,
+so that no step computes an earlier one again.
+
 Tables:
   search_scans      query, pages_count, next_page, requests, pages_scanned
   search_candidates product_id, slug, name, tagline, new_product_id, first_seen_at, last_seen_at
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from tessera.operators import merge as M
 from tessera.operators.merge import fold, insert_missing
 from tessera.plans.store import CursorChanged
+from tessera.sources.scratch import written
 
 State = dict[str, DataFrame]
 #: Products that a collection lists in its own page; the others come by overflow pages of as many.
@@ -115,9 +119,10 @@ def apply_categories(state: State, pages: DataFrame, now: Column) -> tuple[State
     A membership's new mark stays once set; source products and their slugs follow the last record.
     """
     key = "category_slug"
-    _refuse_unless_next(state["category_scans"], pages.groupBy(key, F.col("page").alias("first")).agg(F.count(F.lit(1)).alias("pages")), key, "next_page", "category scan")
-    each = pages.select(key, F.col("ordinal").alias("o"), F.posexplode("records").alias("i", "r")).select(key, F.struct("o", "i").alias("ordinal"), "r.product_id", "r.slug").where("product_id IS NOT NULL")
-    products = _seen(state, _once(each, "product_id", ["slug"]), now)
+    listed = written(pages.select(key, "page", F.col("ordinal").alias("o"), F.posexplode_outer("records").alias("i", "r")).select(key, "page", "o", "i", "r.product_id", "r.slug"), "records")
+    _refuse_unless_next(state["category_scans"], listed.groupBy(key, F.col("page").alias("first")).agg(F.count(F.lit(1)).alias("pages")), key, "next_page", "category scan")
+    each = listed.where("product_id IS NOT NULL").select(key, F.struct("o", "i").alias("ordinal"), "product_id", "slug")
+    products = written(_seen(state, _once(each, "product_id", ["slug"]), now), "found")
     marks = products.select("product_id", "new_product_id")
     rows = each.groupBy(key, "product_id").agg(F.max_by("slug", "ordinal").alias("slug")).join(marks, "product_id").withColumns({"first_seen_at": now, "last_seen_at": now})
     pair = F.struct(key, "product_id")
@@ -125,7 +130,7 @@ def apply_categories(state: State, pages: DataFrame, now: Column) -> tuple[State
     current = state["category_candidates"]
     candidates = M.merge(current.withColumn("_pair", pair).drop(key, "product_id"), rows.withColumn("_pair", pair), "_pair", rules).select("_pair.*", *rules).select(*current.columns)
     sources = merge(state["source_products"], products, "product_id", {"slug": "last", "first_seen_at": "min", "last_seen_at": "max"})
-    steps = pages.select(key, (F.col("page") + 1).alias("next_page"), F.lit(1).alias("pages_scanned")).distinct()
+    steps = listed.select(key, (F.col("page") + 1).alias("next_page"), F.lit(1).alias("pages_scanned")).distinct()
     scans = merge(state["category_scans"], steps, key, {"next_page": "max", "pages_scanned": "sum"})
     new = {"category_candidates": candidates, "source_products": sources, "products": _new_products(state, products.select("slug").distinct()), "category_scans": scans}
     return state | new, marks.where("new_product_id").count()
@@ -133,7 +138,7 @@ def apply_categories(state: State, pages: DataFrame, now: Column) -> tuple[State
 
 def _collected(state: State, records: DataFrame, now: Column) -> tuple[State, int]:
     """Candidates, source products and products with the records (product_id, slug, ordinal) that they lack; known rows stay as they are."""
-    found = _seen(state, _once(records, "product_id", ["slug"]), now)
+    found = written(_seen(state, _once(records, "product_id", ["slug"]), now), "found")
     fresh = found.where("new_product_id")
     candidates = state["collection_candidates"].unionByName(insert_missing(state["collection_candidates"], found, "product_id"))
     sources = state["source_products"].unionByName(fresh.select(*state["source_products"].columns))
@@ -147,35 +152,32 @@ def apply_collections(state: State, pages: DataFrame, now: Column) -> tuple[Stat
     products get an overflow row, or a larger count in theirs.
     """
     key = "scan_name"
-    _refuse_unless_next(state["collection_scans"], page_runs(pages, key), key, "next_page", "collection scan")
     once = pages.groupBy(key, "page").agg(F.max_by("collections", "ordinal").alias("collections"))
-    each = once.select(key, "page", F.posexplode_outer("collections").alias("i", "c"))
-    records = each.select(key, "page", "i", F.posexplode("c.records").alias("j", "r")).select(F.struct(key, "page", "i", "j").alias("ordinal"), "r.product_id", "r.slug").where("product_id IS NOT NULL")
+    each = once.select(key, "page", F.posexplode_outer("collections").alias("i", "c")).select(key, "page", "i", F.col("c").isNotNull().alias("listed"), "c.collection_id", "c.products_count", "c.records")
+    each = written(each.withColumn("members", F.when(F.col("records").isNotNull(), F.size("records"))), "collections")
+    _refuse_unless_next(state["collection_scans"], page_runs(each, key), key, "next_page", "collection scan")
+    records = each.select(key, "page", "i", F.posexplode("records").alias("j", "r")).select(F.struct(key, "page", "i", "j").alias("ordinal"), "r.product_id", "r.slug").where("product_id IS NOT NULL")
     new, n = _collected(state, records, now)
-    large = each.where(F.col("c.products_count") > INLINE).groupBy(F.col("c.collection_id").alias("collection_id")).agg(F.max("c.products_count").alias("products_count"))
+    large = each.where(F.col("products_count") > INLINE).groupBy("collection_id").agg(F.max("products_count").alias("products_count"))
     kind = state["collection_overflow"].schema
     over = merge(state["collection_overflow"], large, "collection_id", {"products_count": "max"})
     over = over.withColumns({"next_offset": F.coalesce("next_offset", F.lit(INLINE).cast(kind["next_offset"].dataType)), "pages_scanned": F.coalesce("pages_scanned", F.lit(0).cast(kind["pages_scanned"].dataType))})
     sums = each.groupBy(key).agg(
-        F.count("c").alias("collections_seen"), F.coalesce(F.sum(F.size(F.coalesce("c.records", F.array().cast(_records(each))))), F.lit(0)).alias("memberships_seen"),
-        F.coalesce(F.sum("c.products_count"), F.lit(0)).alias("reported_memberships"), F.count_distinct("page").alias("pages_scanned"), (F.max("page") + 1).alias("next_page"),
+        F.count_if("listed").alias("collections_seen"), F.coalesce(F.sum("members"), F.lit(0)).alias("memberships_seen"),
+        F.coalesce(F.sum("products_count"), F.lit(0)).alias("reported_memberships"), F.count_distinct("page").alias("pages_scanned"), (F.max("page") + 1).alias("next_page"),
     )
     rules = {"next_page": "max"} | {c: "sum" for c in ("pages_scanned", "collections_seen", "memberships_seen", "reported_memberships")}
     scans = merge(state["collection_scans"], sums, key, rules)
     return state | new | {"collection_overflow": over, "collection_scans": scans}, n
 
 
-def _records(each: DataFrame):  # noqa: ANN202
-    return each.select("c.records").schema["records"].dataType
-
-
 def apply_overflow(state: State, pages: DataFrame, now: Column, scan_name: str) -> tuple[State, int]:
     """pages: collection_id, offset, records array<struct<product_id, slug>>, ordinal: the next INLINE products of collections.
 
     Offsets stop at the collection's count. Memberships are counted in the scan `scan_name`.
     """
     key = "collection_id"
-    once = pages.groupBy(key, "offset").agg(F.max_by("records", "ordinal").alias("records"))
+    once = written(pages.groupBy(key, "offset").agg(F.max_by("records", "ordinal").alias("records")), "overflow")
     _refuse_unless_next(state["collection_overflow"], once.select(key, F.col("offset").alias("first")), key, "next_offset", "collection overflow")
     records = once.select(key, "offset", F.posexplode("records").alias("i", "r")).select(F.struct("offset", key, "i").alias("ordinal"), "r.product_id", "r.slug").where("product_id IS NOT NULL")
     new, n = _collected(state, records, now)
@@ -198,7 +200,7 @@ def apply_searches(state: State, steps: DataFrame, records: DataFrame, now: Colu
     key = "query"
     _refuse_unless_next(state["search_scans"], steps.select(key, F.col("expected_page").alias("first")), key, "next_page", "search scan")
     rules = {"slug": "last", "name": "last_set", "tagline": "last_set"}
-    found = _seen(state, fold(records.where("product_id IS NOT NULL"), "product_id", rules, "ordinal"), now)
+    found = written(_seen(state, fold(records.where("product_id IS NOT NULL"), "product_id", rules, "ordinal"), now), "found")
     candidates = merge(state["search_candidates"], found, "product_id", rules | {"new_product_id": "keep", "first_seen_at": "min", "last_seen_at": "max"})
     fresh = found.where("new_product_id")
     sources = state["source_products"].unionByName(fresh.select(*state["source_products"].columns))

@@ -17,6 +17,12 @@ def test_query_equals_sql(spark, sf_dir, con, name):  # noqa: F811
     same(page_queries.QUERIES[name](spark, sf_dir).toPandas(), con.execute(page_queries.SQL[name]).df())
 
 
+@pytest.mark.parametrize("name", ["pages_collection_report", "pages_overflow", "pages_overflow_pending", "pages_collection_scans", "pages_search_report"])
+def test_a_batch_is_computed_once(spark, sf_dir, name):
+    """What is checked, counted and merged reads the batch's written table, and gathers no line items again."""
+    assert not any("lineitem" in f for f in page_queries.QUERIES[name](spark, sf_dir).inputFiles())
+
+
 @pytest.fixture
 def state(spark):
     make = spark.createDataFrame
