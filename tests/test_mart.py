@@ -28,3 +28,9 @@ def same(a: pd.DataFrame, b: pd.DataFrame) -> None:
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, con, name):
     same(QUERIES[name](spark, sf_dir).toPandas(), con.execute(SQL[name]).df())
+
+
+@pytest.mark.parametrize("name", ["table_rows", "dashboard_composed"])
+def test_shared_tables_are_computed_once(spark, sf_dir, name):
+    """Queries of many tables find the entities of the line items once, and read them as written."""
+    assert not any("lineitem" in f for f in QUERIES[name](spark, sf_dir).inputFiles())
